@@ -9,6 +9,7 @@ from candlemill.functions.market import (
     strip_quote,
     trade_side,
 )
+from candlemill.functions.rows import compute_once
 from candlemill.functions.times import (
     as_timestamp,
     event_time,
@@ -19,6 +20,7 @@ from candlemill.functions.times import (
 __all__ = [
     "as_timestamp",
     "completeness",
+    "compute_once",
     "event_time",
     "freshness_status",
     "is_large_trade",

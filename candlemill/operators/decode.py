@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.functions import as_timestamp
+from candlemill.functions import as_timestamp, compute_once
 from candlemill.functions.times import AsOf
 from candlemill.schemas import ENVELOPE, RECORD, SENTIMENT_PAYLOAD
 
@@ -21,16 +21,16 @@ def normalise_envelope(
     message that is no good record stays in ``rejected_value``. A ``data`` object must have all
     five fields and numeric price and quantity; a NULL symbol, time or flag passes through.
     """
-    text = F.col(value).cast("string")
+    text = F.col("_text")
     data = F.col("_parsed.data")
-    price = F.col("data_price")
-    quantity = F.col("data_quantity")
+    price = _number(F.col("_parsed.data.p"))
+    quantity = _number(F.col("_parsed.data.q"))
 
     # The key listings re-read the text, so they are reached only by rows that lack something.
-    top_keys = F.json_object_keys(F.col("_text"))
-    data_keys = F.json_object_keys(F.get_json_object(F.col("_text"), "$.data"))
-    is_array = F.get_json_object(F.col("_text"), "$[*]").isNotNull() | (
-        F.regexp_replace(F.col("_text"), r"\s", "") == "[]"
+    top_keys = F.json_object_keys(text)
+    data_keys = F.json_object_keys(F.get_json_object(text, "$.data"))
+    is_array = F.get_json_object(text, "$[*]").isNotNull() | (
+        F.regexp_replace(text, r"\s", "") == "[]"
     )
     has_all = F.array_size(F.array_intersect(data_keys, F.array(*map(F.lit, "sTm")))) == 3
     reason = (
@@ -50,25 +50,17 @@ def normalise_envelope(
         )
     )
     ingested = F.date_format(as_timestamp(as_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return (
-        df.select(text.alias("_text"), F.from_json(text, ENVELOPE).alias("_parsed"))
-        .withColumns(
-            {
-                "data_price": _number(F.col("_parsed.data.p")),
-                "data_quantity": _number(F.col("_parsed.data.q")),
-            }
-        )
-        .select(
-            F.lit(source).alias("source"),
-            F.col("_parsed.data.s").alias("symbol"),
-            price.alias("price"),
-            quantity.alias("quantity"),
-            F.col("_parsed.data.T").alias("trade_time"),
-            F.col("_parsed.data.m").alias("is_buyer_maker"),
-            ingested.alias("ingested_at"),
-            reason.alias("reject_reason"),
-            F.when(reason.isNotNull(), F.col("_text")).alias("rejected_value"),
-        )
+    texts = df.select(F.col(value).cast("string").alias("_text"))
+    return compute_once(texts, "_parsed", F.from_json(text, ENVELOPE)).select(
+        F.lit(source).alias("source"),
+        F.col("_parsed.data.s").alias("symbol"),
+        price.alias("price"),
+        quantity.alias("quantity"),
+        F.col("_parsed.data.T").alias("trade_time"),
+        F.col("_parsed.data.m").alias("is_buyer_maker"),
+        ingested.alias("ingested_at"),
+        reason.alias("reject_reason"),
+        F.when(reason.isNotNull(), text).alias("rejected_value"),
     )
 
 
@@ -108,10 +100,11 @@ def decode_records(df: DataFrame, value: str = "value") -> DataFrame:
 
     A field of the wrong type is NULL and the others are kept.
     """
-    text = F.col(value).cast("string")
+    text = F.col("_text")
     nothing = F.coalesce(*(F.col(f"_record.{n}").cast("string") for n in RECORD.names)).isNull()
-    return df.select(text.alias("_text"), F.from_json(text, RECORD).alias("_record")).select(
-        "_record.*", F.when(nothing, F.col("_text")).alias("rejected_value")
+    texts = df.select(F.col(value).cast("string").alias("_text"))
+    return compute_once(texts, "_record", F.from_json(text, RECORD)).select(
+        "_record.*", F.when(nothing, text).alias("rejected_value")
     )
 
 

@@ -61,7 +61,7 @@ HOURLY = """
 FRESHNESS = f"""
   SELECT symbol, max(candle_start_time) AS latest_candle_time,
          max(ingested_at) AS latest_ingestion_time,
-         round(date_diff('microsecond', max(candle_start_time), {AS_OF}) / CAST(60000000 AS DOUBLE), 6)
+         round(date_diff('microsecond', max(candle_start_time), {AS_OF}) / CAST(60000000 AS DOUBLE), 9)
            AS minutes_since_last_candle,
          CASE WHEN date_diff('microsecond', max(candle_start_time), {AS_OF}) <= 5 * 60000000
                 THEN 'Fresh ✅'
@@ -74,7 +74,7 @@ DAILY = """
   SELECT date_trunc('day', candle_start_time)::TIMESTAMP AS date, count(*) AS total_candles,
          count(DISTINCT symbol) AS active_symbols,
          CAST(sum(trade_count) AS BIGINT) AS total_trades, sum(total_volume) AS total_volume,
-         round(avg(trade_count), 6) AS avg_trades_per_candle,
+         round(avg(trade_count), 9) AS avg_trades_per_candle,
          round(count(*) * CAST(100 AS DOUBLE) / nullif(count(DISTINCT symbol) * 1440, 0), 1)
            AS daily_completeness_pct
   FROM candles GROUP BY ALL"""
@@ -177,7 +177,8 @@ WITH raw AS (
   FROM events
 ), valued AS (SELECT *, round(price * quantity, 8) AS trade_value FROM raw)
 SELECT *, CASE WHEN is_buyer_maker = false THEN 'BUY' ELSE 'SELL' END AS trade_side,
-       round(ln(price) / ln(10.0), 2) AS price_magnitude, trade_value > 5000 AS is_large_trade,
+       CASE WHEN price > 0 THEN round(ln(price) / ln(10.0), 2) END AS price_magnitude,
+       trade_value > 5000 AS is_large_trade,
        {BUILT_AT} AS processed_at
 FROM valued""",
     "dedup_trades": f"""
@@ -233,7 +234,7 @@ SELECT built.*, last_trade_ingest FROM built JOIN latest USING (candle_start_tim
     "daily_price_vs_sentiment": f"""
 {CANDLES}, {SENTIMENT}, daily AS (
   SELECT CAST(candle_start_time AS DATE) AS date, upper(symbol) AS symbol,
-         round(avg(close_price), 6) AS avg_price, max(high_price) AS max_price,
+         round(avg(close_price), 9) AS avg_price, max(high_price) AS max_price,
          min(low_price) AS min_price, round(sum(total_volume), 2) AS total_volume
   FROM candles GROUP BY ALL
 )
@@ -270,7 +271,7 @@ ORDER BY h.ingestion_hour DESC, h.symbol""",
          sum(buy_volume_taker) AS buy_volume, sum(sell_volume_maker) AS sell_volume
   FROM candles GROUP BY ALL
 )
-SELECT *, round(buy_volume / nullif(buy_volume + sell_volume, 0), 6) AS buy_share FROM hours""",
+SELECT *, round(buy_volume / nullif(buy_volume + sell_volume, 0), 9) AS buy_share FROM hours""",
     "chart_heatmap": f"""
 {CANDLES}
 SELECT CAST(hour(candle_start_time) AS INTEGER) AS hour_of_day, symbol,

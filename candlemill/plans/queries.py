@@ -66,8 +66,8 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = views.size()
-    raw = views.events(spark, sf_dir).select(
+    k = F.col("k")
+    raw = views.sized_events(spark, sf_dir).select(
         "event_id",
         F.col("event_type").alias("symbol"),
         (F.col("value") / 3).alias("price"),
@@ -176,7 +176,7 @@ def candles_by_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_price_vs_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = marts.daily_prices(views.pair_candles(spark, sf_dir), PAIRS)
     mart = marts.price_vs_sentiment(daily, views.sentiment_table(spark, sf_dir))
-    return marts.newest_days_first(_rounded(mart, avg_price=6, total_volume=2))
+    return marts.newest_days_first(_rounded(mart, avg_price=9, total_volume=2))
 
 
 def hourly_ingestion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,12 +192,12 @@ def hourly_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = health.freshness(views.trade_candles(spark, sf_dir), views.AS_OF)
-    return views.naive(_rounded(report, minutes_since_last_candle=6))
+    return views.naive(_rounded(report, minutes_since_last_candle=9))
 
 
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = health.daily_summary(views.trade_candles(spark, sf_dir))
-    return views.naive(_rounded(report, avg_trades_per_candle=6))
+    return views.naive(_rounded(report, avg_trades_per_candle=9))
 
 
 def ingestion_health(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +205,7 @@ def ingestion_health(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.trade_candles(spark, sf_dir), views.AS_OF, stage=staging.stage
     )
     report = health.newest_hours_first(report)
-    return views.naive(_rounded(report, minutes_since_last_candle=6))
+    return views.naive(_rounded(report, minutes_since_last_candle=9))
 
 
 def chart_close(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +217,7 @@ def chart_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chart_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.naive(_rounded(marts.pressure(views.trade_candles(spark, sf_dir)), buy_share=6))
+    return views.naive(_rounded(marts.pressure(views.trade_candles(spark, sf_dir)), buy_share=9))
 
 
 def chart_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +262,12 @@ def stream_bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = session.readStream.schema(schemas.MESSAGE).parquet(f"{work}/topic")
     runs.run_bronze(messages, f"{work}/bronze", f"{work}/bronze_checkpoint").awaitTermination()
     runs.run_silver(
-        session, f"{work}/bronze", f"{work}/silver", f"{work}/silver_checkpoint", as_of=views.BUILT_AT
+        session,
+        f"{work}/bronze",
+        f"{work}/silver",
+        f"{work}/silver_checkpoint",
+        as_of=views.BUILT_AT,
+        files_per_day=1,
     ).awaitTermination()
     return views.naive(
         layers.read_layer(spark, f"{work}/silver", schemas.SILVER).select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlemill.functions import compute_once
 from candlemill.operators.candles import candles
 
 # Fixed moments, so that results do not depend on the clock.
@@ -29,6 +30,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def sized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with ``props.k`` as ``k``, for views that use it in many places."""
+    return compute_once(events(spark, sf_dir), "k", size())
+
+
 def naive(df: DataFrame) -> DataFrame:
     """Timestamps without zone, as the tables have them."""
     return df.select(
@@ -80,24 +86,25 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw exchange messages: some without data, some cut short, some with no number as price."""
-    price = F.when(size() % 17 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    price = F.when(F.col("k") % 17 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
     body = F.to_json(
         F.struct(
             F.concat("event_type", F.lit("@trade")).alias("stream"),
             F.struct(
                 F.col("event_type").alias("s"),
                 price.alias("p"),
-                size().cast("string").alias("q"),
+                F.col("k").cast("string").alias("q"),
                 F.unix_millis(F.col("ts").cast("timestamp")).alias("T"),
                 (F.col("user_id") % 2 == 0).alias("m"),
             ).alias("data"),
         )
     )
-    return events(spark, sf_dir).select(_broken(body).alias("value"))
+    whole = compute_once(sized_events(spark, sf_dir), "body", body)
+    return whole.select(_broken(F.col("body")).alias("value"))
 
 
 def _broken(body: Column) -> Column:
-    k = size()
+    k = F.col("k")
     return (
         F.when(k % 11 == 0, F.lit('{"stream":"status"}'))
         .when(k % 13 == 0, F.left(body, F.length(body) - 1))
@@ -107,9 +114,9 @@ def _broken(body: Column) -> Column:
 
 def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with NULLs, outliers and unusable numbers spread over all rows."""
-    dirt = size() % 10
+    dirt = F.col("k") % 10
     none = F.lit(None)
-    return events(spark, sf_dir).select(
+    return sized_events(spark, sf_dir).select(
         F.when(dirt == 5, none).otherwise(F.col("event_type")).alias("symbol"),
         F.when(dirt == 0, none)
         .when(dirt == 1, -F.col("value"))
@@ -119,7 +126,7 @@ def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(dirt == 3, F.lit(0.0))
         .when(dirt == 4, F.lit(float("inf")))
         .when(dirt == 7, F.lit(float("nan")))
-        .otherwise(size().cast("double") + 1)
+        .otherwise(F.col("k").cast("double") + 1)
         .alias("quantity"),
         F.when(dirt == 6, none).otherwise(F.unix_millis(F.col("ts").cast("timestamp"))).alias("trade_time"),
         "event_id",

@@ -69,9 +69,26 @@ def write_layer(
 
 
 def stream_to_layer(
-    df: DataFrame, path: str, checkpoint: str, partitions: Sequence[str] = (), name: str | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    partitions: Sequence[str] = (),
+    name: str | None = None,
+    stateless: bool = False,
+    files_per_partition: int = 0,
 ) -> StreamingQuery:
-    """Append what is available to a layer and stop. Files are committed through the sink's log."""
+    """Append what is available to a layer and stop. Files are committed through the sink's log.
+
+    Otherwise every task writes a file to each partition it has rows for. A ``stateless`` query
+    has its rows brought together by partition, split adaptively where a partition is large. Spark
+    does not adapt stateful queries; ``files_per_partition`` gathers their rows into at most that
+    many files per partition and micro-batch.
+    """
+    if partitions and stateless:
+        df = df.hint("rebalance", *partitions)
+    elif partitions and files_per_partition:
+        share = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+        df = df.repartition(*partitions, share)
     writer = df.writeStream.format("parquet").option("path", path)
     if partitions:
         writer = writer.partitionBy(*partitions)

@@ -23,7 +23,12 @@ def run_bronze(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     ``rejected_value``: one query and one parse serve both, and silver passes over them.
     """
     return stream_to_layer(
-        bronze(decode_records(messages)), path, checkpoint, schemas.BRONZE_PARTITIONS, "bronze"
+        bronze(decode_records(messages)),
+        path,
+        checkpoint,
+        schemas.BRONZE_PARTITIONS,
+        "bronze",
+        stateless=True,
     )
 
 
@@ -43,10 +48,18 @@ def run_silver(
     settings: Settings = DEFAULTS,
     as_of: AsOf = None,
     max_files: int | None = None,
+    files_per_day: int = 0,
 ) -> StreamingQuery:
+    """New bronze files to the silver layer. ``max_files`` bounds a micro-batch, at the price that
+    trades far out of time order between files count as late."""
     trades = stream_layer(spark, bronze_path, schemas.BRONZE, max_files)
     return stream_to_layer(
-        silver(trades, settings, as_of), path, checkpoint, schemas.SILVER_PARTITIONS, "silver"
+        silver(trades, settings, as_of).select(*schemas.SILVER.names),
+        path,
+        checkpoint,
+        schemas.SILVER_PARTITIONS,
+        "silver",
+        files_per_partition=files_per_day,
     )
 
 
