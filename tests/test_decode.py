@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+from conftest import rows
+
+from candlemill.operators import decode
+
+GOOD = '{"stream":"a","data":{"s":"BTCUSDT","p":"1.5","q":" 2 ","T":1700000000123,"m":true,"x":1}}'
+AS_OF = "2024-01-01 00:00:00.5"
+
+
+def values(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def test_envelope_to_record(spark):
+    records, rejects = decode.decode_envelope(values(spark, GOOD), source="feed", as_of=AS_OF)
+    assert rows(records) == [
+        ("feed", "BTCUSDT", 1.5, 2.0, 1700000000123, True, "2024-01-01T00:00:00.500000")
+    ]
+    assert rejects.count() == 0
+
+
+def test_envelope_reasons(spark):
+    texts = {
+        '{"stream":"a"}': "no data",
+        "[]": "no data",
+        '{"data":null}': "data is not an object",
+        '{"data":5}': "data is not an object",
+        "oops": "malformed",
+        "null": "malformed",
+        GOOD[:-1]: "malformed",
+        '{"data":{"s":"A","p":"x","q":"1","T":1,"m":true}}': "price is not a number",
+        '{"data":{"s":"A","p":"1","q":null,"T":1,"m":true}}': "quantity is not a number",
+        '{"data":{"s":"A","p":"1","q":"1","T":1}}': "missing field",
+        '{"data":{"s":null,"p":"1","q":"1","T":1,"m":null}}': None,
+    }
+    found = decode.normalise_envelope(values(spark, *texts), as_of=AS_OF).collect()
+    assert [r.reject_reason for r in found] == list(texts.values())
+    assert [r.rejected_value for r in found] == [t if why else None for t, why in texts.items()]
+
+
+def test_skipped_messages_are_no_rejects(spark):
+    records, rejects = decode.decode_envelope(values(spark, GOOD, '{"stream":"a"}', "oops"))
+    assert records.count() == 1
+    assert rows(rejects) == [("oops", "malformed")]
+
+
+def test_json_is_parsed_once_per_row(spark):
+    records, _ = decode.decode_envelope(values(spark, GOOD))
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_messages_keep_null_fields(spark):
+    df = spark.createDataFrame([("A", None)], "symbol string, price double")
+    assert rows(decode.to_messages(df)) == [("A", '{"symbol":"A","price":null}')]
+
+
+def test_routing(spark):
+    both = decode.normalise_envelope(values(spark, GOOD, "oops", '{"stream":"a"}'), as_of=AS_OF)
+    routed = rows(decode.route_messages(both, "good", "bad"), "topic")
+    assert routed[0] == ("bad", None, "oops")
+    assert routed[1][:2] == ("good", "BTCUSDT")
+    assert len(routed) == 2
+
+
+def test_records(spark):
+    texts = [
+        '{"source":"x","symbol":"A","price":1.5,"quantity":2,"trade_time":3,"is_buyer_maker":false,"ingested_at":"t"}',
+        '{"symbol":"A","price":"1.5"}',
+        '{"symbol":"A","trade_time":1.5}',
+        '{"symbol":"A","price":1e400}',
+        "",
+        "oops",
+        "{}",
+    ]
+    found = rows(decode.decode_records(values(spark, *texts)))
+    assert found[0] == ("x", "A", 1.5, 2.0, 3, False, "t", None)
+    assert found[1][2] is None and found[1][7] is None
+    assert found[2][4] is None
+    assert found[3][2] == float("inf")
+    assert [r[7] for r in found[4:]] == ["", "oops", "{}"]
+    assert all(v is None for r in found[4:] for v in r[:7])
+
+
+def test_records_from_binary(spark):
+    df = values(spark, '{"symbol":"A","price":1.5}').selectExpr("cast(value as binary) as value")
+    assert decode.decode_records(df).first().symbol == "A"
+
+
+def test_sentiment(spark):
+    payload = (
+        '{"data":[{"value":"55","value_classification":"Greed","timestamp":"1704153600"},'
+        '{"value":"x","value_classification":"?","timestamp":"1704067200"},'
+        '{"value":"20","value_classification":"Fear","timestamp":"1704067200"}]}'
+    )
+    found = rows(decode.parse_sentiment(values(spark, payload, "oops", '{"data":[]}')), "date")
+    assert [(str(r[0]), r[1], r[2]) for r in found] == [
+        ("2024-01-01", 20, "Fear"),
+        ("2024-01-02", 55, "Greed"),
+    ]
+    newest = rows(decode.parse_sentiment(values(spark, payload, '{"data":[]}'), newest_only=True))
+    assert [(str(r[0]), r[1]) for r in newest] == [("2024-01-02", 55)]
