@@ -1,0 +1,156 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from candlemill.operators import refine
+
+TRADE = "symbol string, price double, quantity double, trade_time bigint"
+
+
+def test_event_time_and_partitions(frame):
+    df = refine.bronze(frame("trade_time bigint", (1704067199999,), (1704067200000,), (None,)))
+    found = rows(df.withColumn("timestamp", F.col("timestamp").cast("string")), "trade_time")
+    assert found == [
+        (None, None, None, None, None, None),
+        (1704067199999, "2023-12-31 23:59:59.999", 2023, 12, 31, 23),
+        (1704067200000, "2024-01-01 00:00:00", 2024, 1, 1, 0),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("row", "kept"),
+    [
+        (("A", 1, 1, 1), True),
+        (("A", 999_999.99, 1, 1), True),
+        (("A", 1_000_000, 1, 1), False),
+        (("A", 0, 1, 1), False),
+        (("A", -1, 1, 1), False),
+        (("A", None, 1, 1), False),
+        (("A", "NaN", 1, 1), False),
+        (("A", "Infinity", 1, 1), False),
+        (("A", 1, 0, 1), False),
+        (("A", 1, -1, 1), False),
+        (("A", 1, None, 1), False),
+        (("A", 1, "NaN", 1), False),
+        (("A", 1, "Infinity", 1), False),
+        ((None, 1, 1, 1), False),
+        (("A", 1, 1, None), False),
+    ],
+)
+def test_clean(frame, row, kept):
+    assert refine.clean_trades(frame(TRADE, row)).count() == int(kept)
+
+
+def test_cap_is_a_parameter(frame):
+    assert refine.clean_trades(frame(TRADE, ("A", 10, 1, 1)), price_cap=10).count() == 0
+
+
+def test_types(frame):
+    df = frame(
+        TRADE + ", ingested_at string, year int, month int, day int, hour int",
+        ("A", 1.123456789, 2.000000005, 1500, "2024-01-01T00:00:00.25", 1, 1, 1, 1),
+        ("B", 4e-9, 1, 1501, "not a time", 1, 1, 1, 1),
+    )
+    typed = refine.type_trades(df)
+    assert typed.columns == ["symbol", "price", "quantity", "trade_timestamp", "ingest_timestamp"]
+    times = [F.col(c).cast("string") for c in ("trade_timestamp", "ingest_timestamp")]
+    assert rows(typed.select("symbol", "price", "quantity", *times), "symbol") == [
+        ("A", 1.12345679, 2.00000001, "1970-01-01 00:00:01.5", "2024-01-01 00:00:00.25"),
+        ("B", 0.0, 1.0, "1970-01-01 00:00:01.501", None),
+    ]
+
+
+def test_enrich_limits(frame):
+    df = frame(
+        "price double, quantity double, is_buyer_maker boolean",
+        (100, 100, True),
+        (100, 100.00000001, False),
+        (0, 1, None),
+    )
+    found = refine.enrich_trades(df, as_of="2024-01-01").select(
+        "trade_value", "trade_side", "price_magnitude", "is_large_trade"
+    )
+    assert rows(found, "trade_value") == [
+        (0.0, "SELL", None, False),
+        (10_000.0, "SELL", 2.0, False),
+        (10_000.000001, "BUY", 2.0, True),
+    ]
+
+
+DEDUP = (
+    "symbol string, trade_timestamp timestamp, price double, quantity double, "
+    "ingest_timestamp timestamp, is_buyer_maker boolean"
+)
+
+
+def test_dedup_keeps_the_first_ingested(frame):
+    t = "2024-01-01 00:00:00"
+    df = frame(
+        DEDUP,
+        ("A", t, 1, 1, "2024-01-01 00:00:09", True),
+        ("A", t, 1, 1, "2024-01-01 00:00:05", False),
+        ("A", t, 1, 1, None, None),
+        ("A", t, 1, 2, None, None),
+        ("A", t, 2, 1, None, True),
+        ("A", t, 2, 1, None, False),
+    )
+    found = refine.dedup_trades(df).select("price", "quantity", "is_buyer_maker")
+    assert rows(found, "price", "quantity") == [(1.0, 1.0, False), (1.0, 2.0, None), (2.0, 1.0, False)]
+
+
+def test_dedup_against_brute_force(spark, frame):
+    """A third of all rows are copies of one trade; input order and partitioning do not matter."""
+    rng = random.Random(7)
+    data = [("HOT", "2024-01-01 00:00:00", 1.0, 1.0, f"2024-01-01 01:00:{i % 60:02d}", i % 2 == 0) for i in range(300)]
+    for _ in range(600):
+        data.append(
+            (
+                rng.choice("ABC"),
+                f"2024-01-01 00:00:{rng.randrange(20):02d}",
+                float(rng.randrange(1, 4)),
+                1.0,
+                f"2024-01-01 02:00:{rng.randrange(60):02d}",
+                rng.random() < 0.5,
+            )
+        )
+    groups = defaultdict(list)
+    for row in data:
+        groups[row[:4]].append(row)
+    want = sorted(min(g, key=lambda r: r[4:]) for g in groups.values())
+    for seed, partitions in ((1, 1), (2, 7)):
+        rng = random.Random(seed)
+        rng.shuffle(data)
+        kept = refine.dedup_trades(frame(DEDUP, *data).repartition(partitions)).select(
+            "symbol",
+            F.date_format("trade_timestamp", "yyyy-MM-dd HH:mm:ss"),
+            "price",
+            "quantity",
+            F.date_format("ingest_timestamp", "yyyy-MM-dd HH:mm:ss"),
+            "is_buyer_maker",
+        )
+        assert sorted(rows(kept)) == want
+
+
+def test_dedup_reduces_before_the_shuffle(frame):
+    plan = refine.dedup_trades(frame(DEDUP))._jdf.queryExecution().executedPlan().toString()
+    before, after = plan.split("Exchange hashpartitioning", 1)
+    assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
+
+
+def test_silver_drops_derived_columns_from_the_shuffle(frame):
+    df = frame(
+        "source string, " + TRADE + ", is_buyer_maker boolean, ingested_at string, rejected_value string",
+        ("x", "A", 1, 1, 1, True, "2024-01-01", None),
+        ("x", "A", 1, 1, 1, True, "2024-01-02", None),
+        (None, None, None, None, None, None, None, "oops"),
+    )
+    out = refine.silver(df)
+    assert out.count() == 1
+    assert out.columns[-3:] == ["year", "month", "day"]
+    below = out._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning", 1)[1]
+    assert "price_magnitude" not in below
