@@ -23,7 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     opts = args.parse_args(argv)
 
     spark = build_session("sentiment")
-    payloads = spark.read.option("wholetext", True).text(opts.payloads)
+    payloads = spark.read.text(opts.payloads, wholetext=True)
     readings = parse_sentiment(payloads, newest_only=opts.newest_only)
     if opts.current:
         existing = spark.read.schema(schemas.SENTIMENT).parquet(opts.current)
