@@ -37,7 +37,7 @@ def price_ticks(price: str | Column) -> Column:
     Fits a long for every price below the cleaning cap, and fails loudly far beyond it.
     """
     price = F.col(price) if isinstance(price, str) else price
-    return F.round(price * F.lit(1e8)).cast("bigint")
+    return F.rint(price * F.lit(1e8)).cast("bigint")
 
 
 def strip_quote(symbol: str | Column, quote: str = DEFAULTS.quote) -> Column:

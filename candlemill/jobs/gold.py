@@ -7,11 +7,11 @@ their days again. Without one the whole history is rebuilt.
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from candlemill import schemas
 from candlemill.config import DEFAULTS
-from candlemill.functions import price_ticks
-from candlemill.operators.candles import candles
+from candlemill.operators.candles import candles, silver_order
 from candlemill.operators.refine import add_partitions
 from candlemill.session import build_session
 from candlemill.sources.layers import in_days, read_layer, write_layer
@@ -23,6 +23,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--silver", required=True)
     args.add_argument("--candles", required=True)
     args.add_argument("--width", default=DEFAULTS.candle_width, help="must divide a day")
+    args.add_argument(
+        "--price-cap", type=float, default=DEFAULTS.price_cap, help="the one silver was cleaned with"
+    )
     args.add_argument("--start", help="first day, YYYY-MM-DD")
     args.add_argument("--end", help="last day, YYYY-MM-DD")
     args.add_argument("--jdbc-url")
@@ -32,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session("gold")
     trades = read_layer(spark, opts.silver, schemas.SILVER, opts.start, opts.end)
-    built = candles(trades, opts.width, tie=price_ticks("price"))
+    built = candles(trades, opts.width, **silver_order(replace(DEFAULTS, price_cap=opts.price_cap)))
     by_day = add_partitions(built, "candle_start_time")
     if opts.start or opts.end:
         # A day whose trades are all gone keeps its candles; nothing deletes from silver.

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlemill import schemas
 from candlemill.config import DEFAULTS, Settings
-from candlemill.functions import price_ticks
 from candlemill.functions.times import AsOf
-from candlemill.operators.candles import candles
+from candlemill.operators.candles import candles, silver_order
 from candlemill.operators.decode import decode_records
 from candlemill.operators.refine import bronze, silver
 from candlemill.sources.layers import stream_layer, stream_to_layer
@@ -69,7 +68,6 @@ def run_candles(
     path: str,
     checkpoint: str,
     settings: Settings = DEFAULTS,
-    tie: str | Column | None = None,
     as_of: AsOf = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
@@ -78,5 +76,5 @@ def run_candles(
     trades = stream_layer(spark, silver_path, schemas.SILVER, max_files).withWatermark(
         "trade_timestamp", settings.watermark
     )
-    built = candles(trades, settings.candle_width, price_ticks("price") if tie is None else tie, as_of)
+    built = candles(trades, settings.candle_width, **silver_order(settings), as_of=as_of)
     return stream_to_layer(built, path, checkpoint, name="candles")

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from candlemill.functions import price_ticks
-from candlemill.operators.candles import candles
+from candlemill.operators.candles import candles, silver_order, width_micros
 
 TRADES = (
     "symbol string, trade_timestamp timestamp, price double, quantity double, "
@@ -123,3 +123,59 @@ def test_integer_tie_hash_aggregates(frame):
     plan = candles(frame(TRADES), tie="trade_id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") == 2
     assert "SortAggregate" not in plan and "Sort " not in plan
+
+
+def test_width():
+    assert width_micros("1 minute") == 60_000_000
+    assert width_micros("5 Minutes") == 300_000_000
+    assert width_micros("1 day 2 hours") is None
+    assert width_micros("a month") is None
+
+
+BOUNDED = {"tie_limit": 1000, "time_step": 1}
+
+
+def test_long_ranking(frame):
+    t, u = "2024-01-01 00:00:10.000001", "1969-12-31 23:59:59.999999"
+    df = frame(
+        TRADES,
+        ("A", t, 5, 1, True, 5),
+        ("A", t, 7, 1, True, 0),
+        ("A", t, 6, 1, True, 999),
+        ("B", t, 1, 1, True, 999),
+        ("B", "2024-01-01 00:00:10.000002", 2, 1, True, None),
+        ("C", u, 1, 1, True, 3),
+        ("C", "1969-12-31 23:59:00", 2, 1, True, 4),
+    )
+    built = candles(df, tie="trade_id", **BOUNDED)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "decimal" not in plan and plan.count("HashAggregate") == 2
+    found = {r.symbol: (r.open_price, r.close_price) for r in built.collect()}
+    assert found == {"A": (7.0, 6.0), "B": (1.0, 2.0), "C": (2.0, 1.0)}
+
+
+@pytest.mark.parametrize(("tie", "step"), [(1000, 1), (-1, 1), (5, 1000)])
+def test_bounds_are_enforced(frame, tie, step):
+    df = frame(TRADES, ("A", "2024-01-01 00:00:10.000001", 5, 1, True, tie))
+    with pytest.raises(Exception, match="outside the declared bounds"):
+        candles(df, tie="trade_id", tie_limit=1000, time_step=step).collect()
+
+
+def test_wide_windows_use_a_decimal(frame):
+    built = candles(frame(TRADES), "1 week", tie="trade_id", tie_limit=10**12)
+    assert "decimal" in built._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_order_equals_the_exact_form(frame):
+    rng = random.Random(5)
+    data = [
+        (rng.choice("AB"), f"2024-01-01 00:0{rng.randrange(3)}:{rng.randrange(60):02d}.{rng.choice(['000', '001', '999'])}",
+         rng.choice([1e-8, 0.5, 999_999.99999999, 1_000_000.0, 12.25]), 1, True, None)
+        for _ in range(500)
+    ]
+    df = frame(TRADES, *data)
+    for width in ("1 minute", "1 hour"):
+        fast = candles(df, width, **silver_order(), as_of="2024-02-01")
+        exact = candles(df, width, as_of="2024-02-01")
+        assert fast.exceptAll(exact).count() == 0 and fast.count() == exact.count()
+    assert "decimal" not in candles(df, **silver_order())._jdf.queryExecution().executedPlan().toString()

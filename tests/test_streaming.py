@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from candlemill import schemas
 from candlemill.config import DEFAULTS
-from candlemill.functions import price_ticks
 from candlemill.operators.candles import candles
 from candlemill.operators.decode import decode_records
 from candlemill.operators.refine import bronze, silver
@@ -171,7 +170,7 @@ def test_candle_stream_equals_batch_for_closed_windows(spark, tmp_path):
     lake.silver()
     lake.candles()
     trades = lake.read("silver", schemas.SILVER)
-    batch = candles(trades, tie=price_ticks("price"), as_of="2024-02-01").cache()
+    batch = candles(trades, as_of="2024-02-01").cache()
     streamed = lake.read("candles", schemas.CANDLES)
     edge = trades.agg(F.max("trade_timestamp")).first()[0]
     closed = batch.where(
