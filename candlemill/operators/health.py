@@ -17,11 +17,13 @@ def hourly_ingestion(
     per_hour: int = DEFAULTS.candles_per_hour,
     fill_gaps: bool = False,
     until: AsOf = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Candles, trades and volume per hour and symbol, with the share of expected candles.
 
     Hours without any candle have no row. ``fill_gaps`` adds them with zero counts, from each
-    symbol's first hour to its last, or to ``until`` when given.
+    symbol's first hour to its last, or to ``until`` when given. That reads the hourly rows twice;
+    ``stage`` has them written once, as in :func:`ingestion_health`.
     """
     hourly = candles.groupBy(
         F.date_trunc("hour", "candle_start_time").alias("ingestion_hour"), "symbol"
@@ -34,7 +36,7 @@ def hourly_ingestion(
         F.max("candle_start_time").alias("latest_candle"),
     )
     if fill_gaps:
-        hourly = _with_empty_hours(hourly, until)
+        hourly = _with_empty_hours(hourly if stage is None else stage(hourly), until)
     count = F.col("candles_count")
     return hourly.withColumns(
         {

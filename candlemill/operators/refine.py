@@ -95,7 +95,9 @@ def dedup_trades(
     keys = list(keys)
     if not df.isStreaming:
         rest = [c for c in df.columns if c not in keys and c not in order]
-        ranking = Window.partitionBy(*keys).orderBy(
+        # Sorting compares the first key by a machine word, and times repeat less than symbols.
+        by_time = sorted(keys, key=lambda key: key != time)
+        ranking = Window.partitionBy(*by_time).orderBy(
             *(F.asc_nulls_last(c) for c in order), *(F.asc_nulls_last(c) for c in rest)
         )
         ranked = df.withColumn("_copy", F.row_number().over(ranking))

@@ -11,15 +11,14 @@ from candlemill.functions import as_timestamp
 from candlemill.functions.times import AsOf
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """The row highest in ``order`` per key, ties broken by the whole row.
 
     Spark limits each group to one row before the shuffle, so a hot key stays cheap.
     """
     rest = [c for c in df.columns if c not in keys and c != order]
-    ranking = Window.partitionBy(*keys).orderBy(
-        F.desc_nulls_last(order), *(F.desc_nulls_last(c) for c in rest)
-    )
+    columns = rest if order is None else [order, *rest]
+    ranking = Window.partitionBy(*keys).orderBy(*(F.desc_nulls_last(c) for c in columns))
     return df.withColumn("_rank", F.row_number().over(ranking)).where("_rank = 1").drop("_rank")
 
 
@@ -35,11 +34,11 @@ def upsert(
 
     ``existing`` has at most one row per key. Of several new rows with one key the highest in
     ``order`` wins. Replaced rows get ``as_of`` in ``stamp``; added rows have it NULL. Columns that
-    ``new`` lacks keep their value. One pass: both sides are shuffled once, on the key.
+    ``new`` lacks keep their value. Both sides are shuffled once, on the key, and hold each key
+    once by then, so no key is hot.
     """
     keys = list(keys)
-    if order is not None:
-        new = latest_per_key(new, keys, order)
+    new = latest_per_key(new, keys, order)
     values = [c for c in existing.columns if c not in keys and c != stamp]
     given = [c for c in values if c in new.columns]
 

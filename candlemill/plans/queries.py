@@ -97,8 +97,7 @@ def dedup_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = views.table(spark, sf_dir, "lineitem", views.LINEITEM)
     return refine.dedup_trades(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
@@ -185,9 +184,10 @@ def hourly_ingestion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly summary with a row for every hour up to a fixed moment."""
-    candles_ = views.trade_candles(spark, sf_dir)
-    staged = staging.stage(candles_, "candles")
-    return views.naive(health.hourly_ingestion(staged, fill_gaps=True, until=views.AS_OF))
+    report = health.hourly_ingestion(
+        views.trade_candles(spark, sf_dir), fill_gaps=True, until=views.AS_OF, stage=staging.stage
+    )
+    return views.naive(report)
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:

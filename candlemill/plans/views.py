@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlemill.functions import compute_once
 from candlemill.operators.candles import candles
@@ -20,14 +21,42 @@ AS_OF = "2024-01-31 00:00:00"
 CLASSES = [(25, "Extreme Fear"), (45, "Fear"), (55, "Neutral"), (75, "Greed")]
 TOP_CLASS = "Extreme Greed"
 
+_LONG, _NUMBER, _TEXT, _TIME = T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+
+def _fields(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+EVENTS = _fields(
+    event_id=_LONG, ts=_TIME, user_id=_LONG, event_type=_TEXT, value=_NUMBER, props=_TEXT
+)
+LINEITEM = _fields(
+    l_orderkey=_LONG,
+    l_partkey=_LONG,
+    l_suppkey=_LONG,
+    l_linenumber=T.IntegerType(),
+    l_quantity=_NUMBER,
+    l_extendedprice=_NUMBER,
+    l_discount=_NUMBER,
+    l_tax=_NUMBER,
+    l_returnflag=_TEXT,
+    l_linestatus=_TEXT,
+    l_shipdate=_TIME,
+)
+
 
 def size() -> Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events", EVENTS)
 
 
 def sized_events(spark: SparkSession, sf_dir: str) -> DataFrame:

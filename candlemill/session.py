@@ -30,6 +30,9 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     """
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
+    # Splits the large partitions of a stateless query's output.
+    session.conf.set("spark.sql.adaptive.enabled", "true")
+    session.conf.set("spark.sql.adaptive.streaming.stateless.enabled", "true")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set(
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
