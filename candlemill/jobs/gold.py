@@ -1,7 +1,8 @@
 """Silver trades to candles: a parquet layer by day, and a database table if one is named.
 
-With a range of days only those are read and replaced, so late trades are taken in by running
-their days again. Without one the whole history is rebuilt.
+With a range of days, or the days that silver runs since some moment have touched, only those are
+read and replaced: a late trade has the candles of its day built again. Otherwise the whole history
+is rebuilt.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from candlemill.config import DEFAULTS
 from candlemill.operators.candles import candles, silver_order
 from candlemill.operators.refine import add_partitions
 from candlemill.session import build_session
-from candlemill.sources.layers import in_days, read_layer, write_layer
+from candlemill.sources.layers import changed_days, of_days, read_layer, write_layer
 from candlemill.sources.warehouse import write_warehouse
 
 
@@ -28,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     args.add_argument("--start", help="first day, YYYY-MM-DD")
     args.add_argument("--end", help="last day, YYYY-MM-DD")
+    args.add_argument("--changed-since", help="only days with silver rows processed since, in UTC")
     args.add_argument("--jdbc-url")
     args.add_argument("--jdbc-table", default="fact_market_candles")
     args.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
@@ -35,11 +37,10 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session("gold")
     trades = read_layer(spark, opts.silver, schemas.SILVER, opts.start, opts.end)
+    if opts.changed_since:
+        trades = of_days(trades, changed_days(trades, opts.changed_since))
     built = candles(trades, opts.width, **silver_order(replace(DEFAULTS, price_cap=opts.price_cap)))
     by_day = add_partitions(built, "candle_start_time")
-    if opts.start or opts.end:
-        # A day whose trades are all gone keeps its candles; nothing deletes from silver.
-        by_day = by_day.where(in_days(opts.start, opts.end))
     write_layer(by_day, opts.candles, schemas.SILVER_PARTITIONS, replace_partitions=True)
 
     if opts.jdbc_url:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -25,7 +25,9 @@ def history_columns(silver: DataFrame) -> DataFrame:
 
 
 def hour_slice(silver: DataFrame, hour: datetime) -> DataFrame:
-    """The trades of one run hour, reading that day's directory only."""
+    """The trades of one run hour (in UTC unless it has a zone), reading that day's directory only."""
+    if hour.tzinfo is not None:
+        hour = hour.astimezone(timezone.utc).replace(tzinfo=None)
     start = hour.replace(minute=0, second=0, microsecond=0)
     time = F.col("trade_timestamp")
     end = start + timedelta(hours=1)

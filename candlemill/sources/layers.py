@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from candlemill.functions import as_timestamp
+from candlemill.functions.times import AsOf
 from candlemill.streaming.drain import start_drain
 
+DAY = ["year", "month", "day"]
+
 
 def in_days(start: date | None, end: date | None) -> Column:
     """Predicate on the year, month and day directories, both ends included."""
@@ -36,6 +40,16 @@ def read_layer(
     return df if start is None and end is None else df.where(in_days(start, end))
 
 
+def changed_days(layer: DataFrame, since: AsOf, stamp: str = "processed_at") -> DataFrame:
+    """The days of a layer that got rows at or after ``since``."""
+    return layer.where(F.col(stamp) >= as_timestamp(since)).select(*DAY).distinct()
+
+
+def of_days(layer: DataFrame, days: DataFrame) -> DataFrame:
+    """All rows of the named days. Spark skips the directories of the others when it runs."""
+    return layer.join(days, DAY, "left_semi")
+
+
 def stream_layer(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:

@@ -60,6 +60,12 @@ def test_candles(spark, lake):
     after = again.groupBy("day").agg(F.max("ingested_at")).collect()
     assert rows(again.drop("ingested_at"), *order) == whole
     assert dict(before)[1] == dict(after)[1] and dict(before)[2] < dict(after)[2]
+    # The days of the last silver run: both.
+    gold.main(["--silver", f"{lake}/silver", "--candles", f"{lake}/candles", "--changed-since", "2024-01-01"])
+    assert rows(spark.read.parquet(f"{lake}/candles").drop("ingested_at"), *order) == whole
+    # None since the far future: nothing is replaced.
+    gold.main(["--silver", f"{lake}/silver", "--candles", f"{lake}/candles", "--changed-since", "2999-01-01"])
+    assert rows(spark.read.parquet(f"{lake}/candles").drop("ingested_at"), *order) == whole
 
 
 def test_history(spark, lake):

@@ -37,6 +37,20 @@ def test_day_range_prunes_partitions(spark, frame, tmp_path):
     assert ">= 2024-02-01" in pruned and "<= 2024-02-01" in pruned
 
 
+def test_changed_days(spark, frame, tmp_path):
+    path = str(tmp_path / "silver")
+    old = trades(frame, *DAYS).withColumn("processed_at", F.lit("2024-03-01").cast("timestamp"))
+    new = trades(frame, DAYS[1]).withColumn("processed_at", F.lit("2024-03-02").cast("timestamp"))
+    layers.write_layer(old, path, schemas.SILVER_PARTITIONS)
+    layers.write_layer(new, path, schemas.SILVER_PARTITIONS)
+    layer = layers.read_layer(spark, path, new.schema)
+    days = layers.changed_days(layer, "2024-03-02")
+    assert rows(days) == [(2024, 2, 1)]
+    assert layers.of_days(layer, days).count() == 3
+    plan = layers.of_days(layer, days)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_replacing_partitions_leaves_the_others(spark, frame, tmp_path):
     path = str(tmp_path / "silver")
     layers.write_layer(trades(frame, *DAYS), path, schemas.SILVER_PARTITIONS)
@@ -78,6 +92,12 @@ def test_history_hour_is_replaced_not_repeated(spark, frame, tmp_path):
     assert back.count() == 4 and back.columns == schemas.HISTORY.names
 
 
+def test_history_hour_in_another_zone(frame):
+    df = trades(frame, "2024-01-31 22:30:00", "2024-02-01 00:30:00")
+    hour = datetime.fromisoformat("2024-02-01T00:10:00+02:00")
+    assert [r.trade_hour for r in history.history_slice(df, hour).collect()] == [22]
+
+
 def test_history_hour_prunes_partitions(spark, frame, tmp_path):
     path = str(tmp_path / "silver")
     df = trades(frame, *DAYS)
