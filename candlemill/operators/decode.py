@@ -137,4 +137,6 @@ def parse_sentiment(df: DataFrame, value: str = "value", newest_only: bool = Fal
 
 
 def _number(text: Column) -> Column:
-    return F.trim(text).try_cast("double")
+    """A decimal number, NULL for any other text. The cast alone would take ``1.5d`` or ``0x1p3``."""
+    foreign = text.rlike("[dDfFxX]") & ~text.rlike(r"(?i)^\s*[+-]?inf(inity)?\s*$")
+    return F.when(~foreign, F.trim(text).try_cast("double"))

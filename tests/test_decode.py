@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import json
+import math
+import random
+
 from conftest import rows
 
 from candlemill.operators import decode
@@ -101,3 +105,62 @@ def test_sentiment(spark):
     ]
     newest = rows(decode.parse_sentiment(values(spark, payload, '{"data":[]}'), newest_only=True))
     assert [(str(r[0]), r[1]) for r in newest] == [("2024-01-02", 55)]
+
+
+NUMBERS = ["1", "1.5", "-2", "+3", ".5", "2.", "1e3", "1E-8", " 4 ", "inf", "-Infinity", "nan", "", " ", "x", "1.5d", "2f", "0x1p3", "1,5", "--1", "1e", "Infinit"]
+
+
+def expected(text):
+    """What one message comes to: a reason, or symbol, price, quantity, time and flag."""
+    try:
+        message = json.loads(text)
+    except ValueError:
+        return "malformed"
+    if isinstance(message, list) and "data" not in message:
+        return "no data"
+    if not isinstance(message, dict):
+        return "malformed"
+    if "data" not in message:
+        return "no data"
+    data = message["data"]
+    if not isinstance(data, dict):
+        return "data is not an object"
+    for name, field in (("price", "p"), ("quantity", "q")):
+        try:
+            float(data[field])
+        except (KeyError, TypeError, ValueError):
+            return f"{name} is not a number"
+    if not {"s", "T", "m"} <= data.keys():
+        return "missing field"
+    return data["s"], float(data["p"]), float(data["q"]), data["T"], data["m"]
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(1)
+    texts = ["[1]", "{}", "5", '"data"', "true"]
+    for _ in range(600):
+        data = {
+            "s": rng.choice(["A", "btc", "", None]),
+            "p": rng.choice([*NUMBERS, 7, 2.5, None]),
+            "q": rng.choice(["1", "2.5", *NUMBERS]),
+            "T": rng.choice([1, 1700000000000, None]),
+            "m": rng.choice([True, False, None]),
+        }
+        for field in list(data):
+            if rng.random() < 0.05:
+                del data[field]
+        body = {"stream": "x", "data": rng.choice([data] * 12 + [None, 5, "s", [1]])}
+        if rng.random() < 0.05:
+            del body["data"]
+        text = json.dumps(body, indent=rng.choice([None, 1]))
+        texts.append(text[: rng.randrange(len(text))] if rng.random() < 0.05 else text)
+    found = decode.normalise_envelope(values(spark, *texts)).collect()
+    assert len(found) == len(texts)
+    same = lambda a, b: a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
+    for text, row in zip(texts, found):
+        want = expected(text)
+        if isinstance(want, str):
+            assert (row.reject_reason, row.rejected_value) == (want, text), text
+        else:
+            got = (row.symbol, row.price, row.quantity, row.trade_time, row.is_buyer_maker)
+            assert row.reject_reason is None and all(map(same, got, want)), text
