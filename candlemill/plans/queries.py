@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill import schemas
+from candlemill.config import Settings
 from candlemill.operators import decode, health, history, marts, quality, refine
 from candlemill.operators.candles import candles
 from candlemill.operators.upsert import latest_per_key, upsert
@@ -296,7 +297,7 @@ def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{work}/silver",
         f"{work}/candles",
         f"{work}/checkpoint",
-        runs.Settings(candle_width="1 hour"),
+        Settings(candle_width="1 hour"),
         as_of=views.BUILT_AT,
     ).awaitTermination()
     return views.naive(spark.read.schema(schemas.CANDLES).parquet(f"{work}/candles"))

@@ -70,7 +70,8 @@ def write_layer(
     """Append to a layer, or replace exactly the partitions that ``df`` holds.
 
     Rows are brought together by partition, and adaptive execution splits a partition that is
-    large over several tasks, so neither many small files nor one giant task results.
+    large over several tasks, so neither many small files nor one giant task results. Not for a
+    folder that a stream writes: its readers go by the stream's log and would not see these files.
     """
     writer = df.hint("rebalance", *partitions).write.partitionBy(*partitions)
     if max_records_per_file:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import pytest
 from conftest import rows
@@ -150,6 +151,32 @@ def test_topic_options():
     assert (more["failOnDataLoss"], more["minPartitions"], more["maxOffsetsPerTrigger"]) == ("false", "64", "10")
 
 
+def test_topic_wiring():
+    spark, messages = MagicMock(), MagicMock()
+    topic.read_topic(spark, "h:1", "t", min_partitions=8)
+    reader = spark.readStream.format
+    reader.assert_called_with("kafka")
+    assert reader.return_value.options.call_args.kwargs["minPartitions"] == "8"
+
+    topic.stream_to_topic(messages, "h:1", "/c", "t")
+    writer = messages.writeStream.format
+    writer.assert_called_with("kafka")
+    assert writer.return_value.options.call_args.kwargs == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
+    started = writer.return_value.options.return_value.outputMode
+    started.assert_called_with("append")
+    started.return_value.option.assert_called_with("checkpointLocation", "/c")
+
+
+def test_jdbc_wiring():
+    df, spark = MagicMock(), MagicMock()
+    warehouse.write_warehouse(df, "jdbc:x", "t", user="u")
+    df.write.format.assert_called_with("jdbc")
+    assert df.write.format.return_value.options.call_args.kwargs["truncate"] == "true"
+    df.write.format.return_value.options.return_value.mode.assert_called_with("overwrite")
+    warehouse.read_warehouse(spark, "jdbc:x", "t")
+    assert spark.read.format.return_value.options.call_args.kwargs == {"url": "jdbc:x", "dbtable": "t"}
+
+
 def test_jdbc_options():
     options = warehouse.jdbc_options("jdbc:x", "t", connections=4, driver="d")
     assert options == {
