@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--min-partitions", type=int)
     args.add_argument("--max-offsets", type=int)
     args.add_argument("--allow-data-loss", action="store_true")
+    args.add_argument("--no-gather", action="store_true", help="do not gather rows by hour")
     args.add_argument("--bronze", required=True)
     args.add_argument("--checkpoint", required=True)
     opts = args.parse_args(argv)
@@ -37,7 +38,7 @@ def main(argv: list[str] | None = None) -> None:
             min_partitions=opts.min_partitions,
             max_offsets=opts.max_offsets,
         )
-    query = run_bronze(messages, opts.bronze, opts.checkpoint)
+    query = run_bronze(messages, opts.bronze, opts.checkpoint, gather=not opts.no_gather)
     query.awaitTermination()
     print(f"bronze: {input_rows(query)} messages")
 

@@ -168,9 +168,16 @@ def _with_empty_hours(hourly: DataFrame, until: AsOf) -> DataFrame:
     if until is not None:
         last = F.greatest(last, F.date_trunc("hour", as_timestamp(until)))
     spans = hourly.groupBy("symbol").agg(F.min("ingestion_hour").alias("_first"), last.alias("_last"))
-    hours = spans.select(
-        "symbol",
-        F.explode(F.sequence("_first", "_last", F.expr("interval 1 hour"))).alias("ingestion_hour"),
+    # By days and then by hours, so that a long span makes no long array.
+    days = spans.withColumn("_day", F.explode(F.sequence(F.to_date("_first"), F.to_date("_last"))))
+    hours = (
+        days.withColumn("_hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+        .withColumn(
+            "ingestion_hour",
+            F.col("_day").cast("timestamp") + F.make_dt_interval(hours=F.col("_hour")),
+        )
+        .where(F.col("ingestion_hour").between(F.col("_first"), F.col("_last")))
+        .select("symbol", "ingestion_hour")
     )
     return hours.join(hourly, ["ingestion_hour", "symbol"], "left").fillna(
         {"candles_count": 0, "total_trades": 0, "total_volume": 0.0}

@@ -15,11 +15,16 @@ from candlemill.operators.refine import bronze, silver
 from candlemill.sources.layers import stream_layer, stream_to_layer
 
 
-def run_bronze(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def run_bronze(
+    messages: DataFrame, path: str, checkpoint: str, gather: bool = True
+) -> StreamingQuery:
     """Messages with a ``value`` column to the bronze layer.
 
     Messages that decode to nothing land in the NULL partition with their text in
     ``rejected_value``: one query and one parse serve both, and silver passes over them.
+
+    Rows are gathered by hour, which costs a shuffle. Turn ``gather`` off where every task reads
+    messages of few hours anyway, as from a topic that is drained often.
     """
     return stream_to_layer(
         bronze(decode_records(messages)),
@@ -27,7 +32,7 @@ def run_bronze(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         checkpoint,
         schemas.BRONZE_PARTITIONS,
         "bronze",
-        stateless=True,
+        stateless=gather,
     )
 
 

@@ -37,6 +37,10 @@ def test_empty_hours(frame):
         ("A", 4, 30, 50.0, 30),
         ("B", 2, 60, 100.0, 0),
     ]
+    late = health.hourly_ingestion(
+        frame(CANDLES, *hour_of("A", 23, 1), ("A", "2024-01-03 00:30:00", 1, 1, BUILT)), fill_gaps=True, stage=stage
+    )
+    assert late.count() == 26 and late.where("candles_count > 0").count() == 2
     until = health.hourly_ingestion(df, fill_gaps=True, until="2024-01-01 05:10:00")
     assert rows(until.groupBy("symbol").count(), "symbol") == [("A", 5), ("B", 4)]
 

@@ -47,9 +47,9 @@ class Lake:
         df = self.spark.createDataFrame([("k", m) for m in messages], schemas.MESSAGE)
         df.coalesce(1).write.mode("append").parquet(f"{self.path}/topic")
 
-    def bronze(self):
+    def bronze(self, **options):
         source = stream_layer(self.session, f"{self.path}/topic", schemas.MESSAGE)
-        query = run_bronze(source, f"{self.path}/bronze", f"{self.path}/c/bronze")
+        query = run_bronze(source, f"{self.path}/bronze", f"{self.path}/c/bronze", **options)
         query.awaitTermination()
         return query
 
@@ -130,6 +130,13 @@ def test_bronze_layout(spark, tmp_path):
     assert [f.rsplit("/", 1)[0] for f in files] == [f"year=2024/month=1/day=1/hour={h}" for h in range(3)]
 
 
+def test_bronze_without_gathering(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    lake.send(*(message(m) for m in range(0, 120, 10)))
+    lake.bronze(gather=False)
+    assert lake.read("bronze", schemas.BRONZE).count() == 12
+
+
 def test_files_per_day(spark, tmp_path):
     lake = Lake(spark, tmp_path)
     lake.send(*(message(m) for m in range(0, 2880, 7)))
