@@ -64,6 +64,7 @@ def _trade_order(
     kind = trades.select(tie).schema[0].dataType
     if not isinstance(kind, T.IntegralType):
         return F.struct(time, tie, F.col("price"))
+    tie = tie.cast("bigint")
 
     span = width_micros(width)
     if tie_limit and span and (span // time_step + 1) * (tie_limit + 1) <= _LONG_MAX:
@@ -77,7 +78,7 @@ def _trade_order(
         )
 
     ticks = F.unix_micros(time).cast("decimal(18,0)") * F.expr(_TIME_STEP)
-    return ticks + F.coalesce(tie.cast("bigint"), F.expr(_LOWEST_TIE)).cast("decimal(19,0)")
+    return ticks + F.coalesce(tie, F.expr(_LOWEST_TIE)).cast("decimal(19,0)")
 
 
 def candles(

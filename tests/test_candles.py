@@ -161,6 +161,17 @@ def test_bounds_are_enforced(frame, tie, step):
         candles(df, tie="trade_id", tie_limit=1000, time_step=step).collect()
 
 
+def test_int_ties(frame):
+    df = frame(
+        TRADES.replace("trade_id bigint", "trade_id int"),
+        ("A", "2024-01-01 00:00:10", 5, 1, True, 2**31 - 1),
+        ("A", "2024-01-01 00:00:10", 6, 1, True, 0),
+    )
+    for limit in (None, 2**31):
+        got = candles(df, tie="trade_id", tie_limit=limit).first()
+        assert (got.open_price, got.close_price) == (6.0, 5.0)
+
+
 def test_wide_windows_use_a_decimal(frame):
     built = candles(frame(TRADES), "1 week", tie="trade_id", tie_limit=10**12)
     assert "decimal" in built._jdf.queryExecution().executedPlan().toString()
