@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one below the warehouse.
 
-    A local session without that setting gets a temporary folder. On a cluster the setting is
-    required, because executors do not see each other's disks.
+    Both are folders that the driver and all executors reach. On a cluster a folder of one
+    machine (``file:`` without the setting, or a bare path there) is not: the checkpoint folder
+    has to be named, so a session on a cluster without it is refused.
     """
     folder = spark.sparkContext.getConf().get(CHECKPOINT_DIR) or spark.conf.get(CHECKPOINT_DIR, "")
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="candlemill-")
+    return f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_staged"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -31,9 +32,25 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     """``df`` written as parquet and read back: computed once, and safe from lost executors.
 
-    The files stay for as long as the shared folder keeps them.
+    The files stay until ``drop_staged`` or as long as the shared folder keeps them.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Remove the staged folders that ``df`` reads, once its result is written."""
+    spark = df.sparkSession
+    root = shared_folder(spark)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    base = base.getFileSystem(conf).makeQualified(base)
+    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(conf)
+        if fs.makeQualified(path).getParent().equals(base):
+            fs.delete(path, True)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from oracle_check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from candlemill.plans.oracle import ORACLE
+from candlemill.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,14 +18,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    got = queries()[name](spark, SF_DIR).toPandas()
+    got = QUERIES[name](spark, SF_DIR).toPandas()
     assert len(got) > 0
-    assert compare(got, duck.execute(oracle_sql()[name]).df()) is None
+    assert compare(got, duck.execute(ORACLE[name]).df()) is None
 
 
 def test_entry(spark):
