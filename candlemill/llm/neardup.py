@@ -272,13 +272,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     pairs = stage(pairs, "pairs")
     links = links.union(_confirm(pairs, _texts_of(pairs, docs), percent))
-    # A doc_id that stands for rows of several classes joins them.
-    nodes = filled.join(classes.select(*same, "rep"), same).select("doc_id", "rep").where("doc_id <> rep")
-    roots = components(
-        links.union(nodes.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    # Members follow their class. A doc_id whose rows are in several classes links these.
+    mapped = filled.join(classes.select(*same, "rep"), same).select("doc_id", "rep")
+    several = mapped.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    shared_ids = mapped.join(several, "doc_id").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    roots = components(links.union(shared_ids))
+    of_doc = (
+        mapped.join(roots, mapped["rep"] == roots["node"], "left")
+        .groupBy("doc_id")
+        .agg(F.min(F.coalesce("root", "rep")).alias("root"))
+        .select(F.col("doc_id").alias("node"), "root")
     )
     rows = signed.select("doc_id", "n_shingles")
-    return rows.join(roots, rows["doc_id"] == roots["node"], "left").select(
+    return rows.join(of_doc, rows["doc_id"] == of_doc["node"], "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("root", "doc_id").alias("component_id"),
