@@ -68,11 +68,12 @@ def measures(texts: pa.Array, vocabulary: str = PIECE_BPE) -> list[pa.Array]:
     w = words(texts, lower=False)
     strings = texts.to_pylist()
     model = encoder(vocabulary)
-    ids = model.texts(strings)
-    tokens = np.array([len(i) for i in ids], np.int64)
+    flat, first = model.encode(texts)
+    tokens = np.diff(first)
+    ids = [flat[a:b] for a, b in zip(first[:-1], first[1:])]
     in_words = np.bincount(w.doc, w.end - w.start, len(w)).astype(np.int64)
     chars = in_words - w.count_bytes(_CONTINUES)
-    fallback = np.array([int(model.is_byte[i].sum()) for i in ids])
+    fallback = np.array([int(model.is_byte[i].sum()) for i in ids], np.int64)
     return [
         pa.array(w.counts.astype(np.int64)),
         pa.array(chars),

@@ -129,8 +129,16 @@ def byte_table(chars: str) -> np.ndarray:
     return table
 
 
-def words(texts: pa.Array, lower: bool = True, between: np.ndarray = _IS_SPACE) -> Words:
-    """Words of a piece given by ``pieces``: runs of bytes that ``between`` does not flag."""
+def words(
+    texts: pa.Array,
+    lower: bool = True,
+    between: np.ndarray = _IS_SPACE,
+    cut: tuple[np.ndarray, np.ndarray] | None = None,
+) -> Words:
+    """Words of a piece given by ``pieces``: runs of bytes that ``between`` does not flag.
+
+    ``cut`` also parts a word after a byte of its first table before one of its second.
+    """
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.zeros(0, np.uint8)
@@ -144,10 +152,12 @@ def words(texts: pa.Array, lower: bool = True, between: np.ndarray = _IS_SPACE)
     before = np.ones(n, bool)  # a word may start here
     if n:
         before[1:] = ~is_word[:-1]
+        if cut:
+            before[1:] |= cut[0][data[:-1]] & cut[1][data[1:]]
     start = np.flatnonzero(is_word & (before | edge[:n]))
     after = np.ones(n, bool)
     if n:
-        after[:-1] = ~is_word[1:]
+        after[:-1] = ~is_word[1:] | before[1:]
     end = np.flatnonzero(is_word & (after | edge[1 : n + 1])) + 1
     return Words(data, offsets, start, end, np.searchsorted(start, offsets))
 

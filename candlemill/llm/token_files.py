@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlemill.llm.text import pieces
-from candlemill.llm.vocabularies import WORD_BPE, encoder
+from candlemill.llm.vocabularies import PIECE_BYTES, WORD_BPE, encoder
 
 END_ID = 2
 SCHEMA = "pos int, doc_id long, n_tokens long, ids array<int>"
@@ -33,14 +33,14 @@ def encode_documents(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int =
         done = 0
         for batch in batches:
             ids = batch.column("doc_id")
-            for row, texts in pieces(batch.column("text"), 1_000_000):
-                encoded = encoder(vocabulary).texts(texts.to_pylist())
-                lengths = np.array([len(e) + 1 for e in encoded], np.int64)
-                flat = np.full(lengths.sum(), end_id, np.int32)
-                inside = np.ones(len(flat), bool)
-                inside[np.cumsum(lengths) - 1] = False
-                flat[inside] = np.concatenate(encoded) if encoded else []
+            for row, texts in pieces(batch.column("text"), PIECE_BYTES):
+                encoded, first = encoder(vocabulary).encode(texts)
+                lengths = np.diff(first) + 1
                 offsets = np.concatenate([[0], np.cumsum(lengths)])
+                flat = np.full(offsets[-1], end_id, np.int32)
+                inside = np.ones(len(flat), bool)
+                inside[offsets[1:] - 1] = False
+                flat[inside] = encoded
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(done, done + len(texts)), pa.int32()),

@@ -9,65 +9,101 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+
+from candlemill.llm.text import Words, byte_table, pieces, words
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
-# Words that a worker remembers, some 200 bytes each; it starts anew when there are more.
-REMEMBER = 1_200_000
-# Words encoded in one call.
-TOGETHER = 2_000
-
-_ASCII_SPACE = str.maketrans("\t\n\v\f\r", "     ")
+# Words that each of a worker's two generations remembers, some 150 bytes a word.
+REMEMBER = 600_000
+# Bytes of text whose distinct words are looked up together.
+PIECE_BYTES = 4_000_000
+
+# Letters that Python and the vocabulary lower-case alike, one to one.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# A letter before one of these symbols ends a unit of the pattern; ``'`` may begin endings like 's.
+_LETTERS = byte_table(string.ascii_letters)
+_SYMBOLS = byte_table(".,;:!?#$%&*")
 _loaded: dict[str, WordEncoder] = {}
 
 
-def split_words(text: str) -> list[str]:
-    """Words of a text between ASCII white space, with empty strings where there are several."""
-    return text.translate(_ASCII_SPACE).split(" ") if text else []
-
-
 class WordEncoder:
-    """Ids of words as bytes of 16-bit numbers. Subclasses encode lists of new words."""
+    """Ids of words as bytes of 16-bit numbers. Subclasses encode lists of new words.
+
+    Distinct words of a piece of texts are looked up by their 64-bit hashes. They are remembered in
+    two generations: a full one becomes the old one, from which words that still occur are taken
+    over, so frequent words stay.
+    """
 
     def __init__(self, path: str) -> None:
         self.path = path
-        self.known: dict[str, bytes] = {"": b""}
+        self.young: dict[int, bytes] = {}
+        self.old: dict[int, bytes] = {}
 
     def encode_new(self, words: list[str]) -> list[bytes]:
         raise NotImplementedError
 
-    def learn(self, words: list[str]) -> None:
-        """Make all of these words known."""
-        if len(self.known) > REMEMBER:
-            self.known = {"": b""}
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        for at in range(0, len(new), TOGETHER):
-            part = new[at : at + TOGETHER]
-            self.known.update(zip(part, self.encode_new(part)))
-
-    def texts(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts."""
-        split = [split_words(t) for t in texts]
-        known = self.known
-        for words in split:
-            missing = [w for w in words if w not in known]
-            if missing:
-                self.learn(missing if len(known) <= REMEMBER else words)
-                known = self.known
-        return [np.frombuffer(b"".join([self._of(w) for w in words]), np.uint16) for words in split]
-
-    def _of(self, word: str) -> bytes:
-        return self.known[word]
+    def split(self, piece: pa.Array) -> Words:
+        """Parts of texts whose ids do not depend on each other."""
+        return words(piece, lower=False)
+
+    def _lookup(self, w: Words, hashes: np.ndarray, at: np.ndarray) -> list[bytes]:
+        """Ids of distinct words, given by their hashes and one place of each."""
+        if len(self.young) > REMEMBER:
+            self.young, self.old = {}, self.young
+        keys, young, old = hashes.tolist(), self.young, self.old
+        ids = [young.get(k) for k in keys]
+        missing = [i for i, x in enumerate(ids) if x is None]
+        new = []
+        for i in missing:
+            found = old.get(keys[i])
+            if found is None:
+                new.append(i)
+            else:
+                ids[i] = young[keys[i]] = found
+        raw, start, end = w.data.tobytes(), w.start[at].tolist(), w.end[at].tolist()
+        for i, found in zip(new, self.encode_new([raw[start[i] : end[i]].decode() for i in new])):
+            ids[i] = young[keys[i]] = found
+        return ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after the other, and the first id of each text (one more)."""
+        parts, first = [], [np.zeros(1, np.int64)]
+        for _, piece in pieces(texts, PIECE_BYTES):
+            w = self.split(piece)
+            distinct, at, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
+            ids = self._lookup(w, distinct, at)
+            flat = np.frombuffer(b"".join(ids), np.uint16)
+            size = np.array([len(x) for x in ids], np.int64) // 2
+            begin = np.cumsum(size) - size
+            times = size[inverse]
+            ends = np.cumsum(times)
+            place = np.repeat(begin[inverse] - (ends - times), times) + np.arange(times.sum())
+            parts.append(flat[place])
+            first.append(np.append(0, ends)[w.first[1:]] + first[-1][-1])
+        return (np.concatenate(parts) if parts else np.zeros(0, np.uint16)), np.concatenate(first)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: themselves, or from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class WordBpe(WordEncoder):
     """Byte pairs with word ends; equal to encoding the whole text with the tokenizers library.
 
-    A letter or digit and following ``. , ! ?`` are split apart by that vocabulary's own pattern,
-    and it ignores case, so such words are looked up by their parts.
+    That vocabulary ignores case, and its pattern cuts runs of letters from runs of symbols. So a
+    word's trailing punctuation is encoded apart, and a run of plain letters, which is one unit to
+    the pattern, goes to the library's byte-pair model at once. All else goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -76,34 +112,37 @@ class WordBpe(WordEncoder):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # A control character is a token of its own between spaces: it separates words of a call.
-        self.mark = "\x01"
-        (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        plain = [w for w in words if self.mark not in w]
-        ids = self.tokenizer.encode_batch_fast([f" {self.mark} ".join(plain)], add_special_tokens=False)[0].ids if plain else []
-        ids = np.array(ids, np.uint16)
-        cuts = np.flatnonzero(ids == self.mark_id)
-        begins, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
-        found = {w: ids[a:b].tobytes() for w, a, b in zip(plain, begins, ends)}
-        for w in words:
-            if w not in found:
-                found[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint16).tobytes()
-        return [found[w] for w in words]
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+
+    def split(self, piece: pa.Array) -> Words:
+        # Special tokens hold symbols, and are such in lower case alone.
+        w = words(piece, cut=(_LETTERS, _SYMBOLS))
+        return words(piece, lower=False) if b"<|" in w.data.tobytes() else w
+
+    def _encode(self, unit: str) -> bytes:
+        if _PLAIN.fullmatch(unit):
+            written = unit if unit.isascii() else "".join([self.letters[b] for b in unit.encode()])
+            ids = [t.id for t in self.model.tokenize(written)]
+        else:
+            ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
+        return array("H", ids).tobytes()
 
     def encode_new(self, words: list[str]) -> list[bytes]:
-        parts = []
+        out, units = [], {"": b""}
         for w in words:
-            core = w.rstrip(".,!?")
-            if core and core[-1].isalnum():
-                tail = w[len(core) :]
-            else:
-                core, tail = w, ""
-            parts.append((core.lower() if core.isascii() else core, tail))
-        new = list(dict.fromkeys(p for pair in parts for p in pair if p and p not in self.known))
-        self.known.update(zip(new, self._encode(new)))
-        return [self.known[core] + self.known[tail] for core, tail in parts]
+            core = w.rstrip(string.punctuation)
+            # Special tokens are written in punctuation; a mark may join the symbol before it.
+            if not core or "<|" in w or not core[-1].isalnum():
+                core = w
+            tail = w[len(core) :]
+            if _PLAIN.fullmatch(core):
+                core = core.lower()
+            for unit in (core, tail):
+                if unit not in units:
+                    units[unit] = self._encode(unit)
+            out.append(units[core] + units[tail])
+        return out
 
 
 class PieceBpe(WordEncoder):
@@ -117,7 +156,7 @@ class PieceBpe(WordEncoder):
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
 
     def encode_new(self, words: list[str]) -> list[bytes]:
-        return [np.array(ids, np.uint16).tobytes() for ids in self.model.encode(words, num_threads=1)]
+        return [array("H", ids).tobytes() for ids in self.model.encode(words, num_threads=1)]
 
 
 def encoder(name: str = WORD_BPE) -> WordEncoder:
