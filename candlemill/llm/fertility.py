@@ -22,6 +22,8 @@ SPREAD = 3.0
 FLOORS = {"chars_per_token": 0.25, "byte_share": 0.02, "entropy_gap": 0.4}
 # Languages with fewer documents share one set of bands.
 LEAST_DOCS = 100
+# More languages than these, of some 100 bytes each, are joined without a broadcast.
+BROADCAST_LANGUAGES = 10_000
 
 _SYMBOL = byte_table("#*$%&|<>")
 _CONTINUES = (np.arange(256) & 0xC0) == 0x80
@@ -132,14 +134,17 @@ def fertility_rules(docs: DataFrame, vocabulary: str = PIECE_BPE, spread: float
     expected = 8.0 * (1 - F.exp(-F.ln(1 + F.col("n_tokens")) / 4))
     rows = stage(rows.withColumn("entropy_gap", F.col("entropy") - expected), "fertility")
     limits = stage(bands(rows, spread), "bands")  # one row per language
-    # Languages without a row of their own take the common one.
-    of_language = rows.select("language").distinct().join(limits.where("language IS NOT NULL"), "language", "left")
-    common = limits.where("language IS NULL").drop("language")
-    common = common.select([F.col(c).alias(f"c_{c}") for c in common.columns])
     names = [f"{side}_{n}" for n in FLOORS for side in ("low", "high")]
-    joined = of_language.withColumn("one", F.lit(1)).join(common.withColumn("c_one", F.lit(1)), F.col("one") == F.col("c_one"), "left")
-    resolved = joined.select("language", *[F.coalesce(n, f"c_{n}").alias(n) for n in names])
+    common = limits.where("language IS NULL").first()
+    own = limits.where("language IS NOT NULL")
+    if own.count() <= BROADCAST_LANGUAGES:
+        own = F.broadcast(own)
+    joined = rows.join(own, "language", "left")
     inside = F.lit(True)
     for name in FLOORS:
-        inside = inside & F.coalesce(F.col(name).between(F.col(f"low_{name}"), F.col(f"high_{name}")), F.lit(True))
-    return rows.join(resolved, "language", "left").withColumn("kept", ~F.col("base_failed") & inside).drop(*names)
+        low, high = (
+            F.coalesce(F.col(f"{side}_{name}"), F.lit(common[f"{side}_{name}"] if common else None))
+            for side in ("low", "high")
+        )
+        inside = inside & F.coalesce(F.col(name).between(low, high), F.lit(True))
+    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop(*names)
