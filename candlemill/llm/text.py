@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 SHINGLE = 5
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -21,9 +21,9 @@ from candlemill.llm.text import Words, byte_table, pieces, words
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 # Words that each of a worker's two generations remembers, some 150 bytes a word.
-REMEMBER = 600_000
+REMEMBER = 300_000
 # Bytes of text whose distinct words are looked up together.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 2_000_000
 
 # Letters that Python and the vocabulary lower-case alike, one to one.
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
