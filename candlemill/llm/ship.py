@@ -13,11 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 import candlemill
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS = 1_000
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors of this application, once."""
+    """Send the package to the executors of this application, once.
+
+    Whole texts are long rows, so Arrow batches of this session get fewer of them: batches bound
+    the memory of a worker and of the buffers outside the heap.
+    """
+    if int(spark.conf.get(BATCH_ROWS, "10000")) > ROWS:
+        spark.conf.set(BATCH_ROWS, str(ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
