@@ -20,9 +20,19 @@ def as_timestamp(as_of: AsOf) -> Column:
     return F.lit(str(as_of)).cast("timestamp")
 
 
+# The years 1 to 9999 in epoch seconds: what timestamps, dates and their text forms all hold.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def event_time(ms: str | Column) -> Column:
-    """Timestamp from epoch milliseconds."""
-    return F.timestamp_millis(ms)
+    """Timestamp from epoch milliseconds, NULL outside the years 1 to 9999."""
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    return F.when(ms.between(FIRST_SECOND * 1_000, LAST_SECOND * 1_000 + 999), F.timestamp_millis(ms))
+
+
+def second_time(seconds: Column) -> Column:
+    """Timestamp from epoch seconds, NULL outside the years 1 to 9999."""
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(seconds))
 
 
 def partition_values(ts: str | Column, hour: bool = False) -> dict[str, Column]:

@@ -12,12 +12,14 @@ from dataclasses import replace
 
 from candlemill import schemas
 from candlemill.config import DEFAULTS
-from candlemill.operators.candles import candles, silver_order
+from candlemill.operators.candles import candles, silver_order, width_micros
 from candlemill.operators.refine import add_partitions
 from candlemill.session import build_session
 from candlemill.sources.layers import changed_days, of_days, read_layer, write_layer
 from candlemill.sources.warehouse import write_warehouse
 
+_DAY_MICROS = 86_400_000_000
+
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description=__doc__)
@@ -34,6 +36,10 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--jdbc-table", default="fact_market_candles")
     args.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
     opts = args.parse_args(argv)
+    width = width_micros(opts.width)
+    # A window over two days would be rebuilt from the trades of one of them.
+    if not width or _DAY_MICROS % width:
+        args.error(f"the width must divide a day: {opts.width}")
 
     spark = build_session("gold")
     trades = read_layer(spark, opts.silver, schemas.SILVER, opts.start, opts.end)

@@ -6,7 +6,7 @@ import argparse
 from datetime import datetime
 
 from candlemill import schemas
-from candlemill.operators.history import SLICE_PARTITIONS, history_slice
+from candlemill.operators.history import SLICE_PARTITIONS, history_slice, run_hour
 from candlemill.session import build_session
 from candlemill.sources.layers import read_layer, write_layer
 
@@ -22,7 +22,13 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session("history")
     rows = history_slice(read_layer(spark, opts.silver, schemas.SILVER), opts.hour)
-    write_layer(rows, opts.history, SLICE_PARTITIONS, replace_partitions=True)
+    if opts.hour:
+        # The hour's own folder, so that an hour without trades any more loses its old rows.
+        start = run_hour(opts.hour)
+        folder = f"{opts.history}/trade_date={start:%Y-%m-%d}/trade_hour={start.hour}"
+        rows.drop(*SLICE_PARTITIONS).write.mode("overwrite").parquet(folder)
+    else:
+        write_layer(rows, opts.history, SLICE_PARTITIONS, replace_partitions=True)
 
 
 if __name__ == "__main__":

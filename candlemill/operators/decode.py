@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions import as_timestamp, compute_once
-from candlemill.functions.times import AsOf
+from candlemill.functions.times import AsOf, second_time
 from candlemill.schemas import ENVELOPE, RECORD, SENTIMENT_PAYLOAD
 
 SKIPPED = "no data"
@@ -122,7 +122,7 @@ def parse_sentiment(df: DataFrame, value: str = "value", newest_only: bool = Fal
     seconds = F.trim(F.col("item.timestamp")).try_cast("bigint")
     return (
         items.select(
-            F.timestamp_seconds(seconds).alias("reading_time"),
+            second_time(seconds).alias("reading_time"),
             F.trim(F.col("item.value")).try_cast("int").alias("fng_value"),
             F.col("item.value_classification").alias("fng_classification"),
         )

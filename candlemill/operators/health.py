@@ -179,6 +179,14 @@ def _with_empty_hours(hourly: DataFrame, until: AsOf) -> DataFrame:
         .where(F.col("ingestion_hour").between(F.col("_first"), F.col("_last")))
         .select("symbol", "ingestion_hour")
     )
-    return hours.join(hourly, ["ingestion_hour", "symbol"], "left").fillna(
-        {"candles_count": 0, "total_trades": 0, "total_volume": 0.0}
+    # Only hours that the grid adds are filled; a candle without symbol or volume stays as it is.
+    own = hourly.select(F.col("symbol").alias("_symbol"), F.col("ingestion_hour").alias("_hour"))
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("ingestion_hour").eqNullSafe(F.col("_hour"))
+    added = hours.join(own, same, "left_anti").withColumns(
+        {
+            "candles_count": F.lit(0).cast("bigint"),
+            "total_trades": F.lit(0).cast("bigint"),
+            "total_volume": F.lit(0.0),
+        }
     )
+    return hourly.unionByName(added, allowMissingColumns=True)

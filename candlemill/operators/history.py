@@ -24,11 +24,16 @@ def history_columns(silver: DataFrame) -> DataFrame:
     return silver.select(*HISTORY.names)
 
 
-def hour_slice(silver: DataFrame, hour: datetime) -> DataFrame:
-    """The trades of one run hour (in UTC unless it has a zone), reading that day's directory only."""
+def run_hour(hour: datetime) -> datetime:
+    """The start of a run hour, in UTC and without a zone."""
     if hour.tzinfo is not None:
         hour = hour.astimezone(timezone.utc).replace(tzinfo=None)
-    start = hour.replace(minute=0, second=0, microsecond=0)
+    return hour.replace(minute=0, second=0, microsecond=0)
+
+
+def hour_slice(silver: DataFrame, hour: datetime) -> DataFrame:
+    """The trades of one run hour (in UTC unless it has a zone), reading that day's directory only."""
+    start = run_hour(hour)
     time = F.col("trade_timestamp")
     end = start + timedelta(hours=1)
     rows = silver.where((time >= as_timestamp(start)) & (time < as_timestamp(end)))

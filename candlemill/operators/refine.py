@@ -41,7 +41,7 @@ def clean_trades(df: DataFrame, price_cap: float = DEFAULTS.price_cap) -> DataFr
         & (quantity > 0)
         & (quantity < F.lit(float("inf")))
         & F.col("symbol").isNotNull()
-        & F.col("trade_time").isNotNull()
+        & event_time("trade_time").isNotNull()
     )
 
 

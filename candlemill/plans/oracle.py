@@ -211,7 +211,7 @@ SELECT symbol, price, quantity, is_buyer_maker, trade_timestamp,
 FROM trades""",
     "sentiment_upsert": f"""
 WITH {SENTIMENT}, {PAYLOADS},
-new AS (SELECT * FROM newest WHERE isodow(date) BETWEEN 3 AND 6)
+new AS (SELECT * FROM newest WHERE isodow(date) BETWEEN 3 AND 7)
 SELECT coalesce(n.date, s.date) AS date,
        CASE WHEN n.date IS NOT NULL THEN n.fng_value ELSE s.fng_value END AS fng_value,
        CASE WHEN n.date IS NOT NULL THEN n.fng_classification ELSE s.fng_classification END

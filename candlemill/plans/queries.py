@@ -139,8 +139,8 @@ def history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekday readings, with those of Wednesday to Saturday replaced or added."""
-    payloads = views.sentiment_payloads(spark, sf_dir).where(F.weekday("date").between(2, 5))
+    """Weekday readings, with those of Wednesday to Sunday replaced or added."""
+    payloads = views.sentiment_payloads(spark, sf_dir).where(F.weekday("date").between(2, 6))
     new = decode.parse_sentiment(payloads)
     merged = upsert(
         views.sentiment_table(spark, sf_dir), new, ["date"], "reading_time", as_of=views.BUILT_AT
