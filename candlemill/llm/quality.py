@@ -144,6 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, limit: int = SAMPLE) -
     count, ones = sample.agg(F.count("*"), F.sum("label")).first()
     if not count or ones in (0, count):
         return RuleModel(0.0 if not count else (20.0 if ones else -20.0), ())
+    # At most SAMPLE short rows: in one order and partition, so that reruns fit the same model.
+    sample = sample.coalesce(1).sortWithinPartitions("doc_id", "label", *[f"_{n}" for n in STATISTICS])
     rows = VectorAssembler(inputCols=[f"_{n}" for n in STATISTICS], outputCol="features").transform(sample)
     rows = rows.select(F.col("label").cast("double").alias("label"), "features", *[f"_{n}" for n in STATISTICS])
     # Both labels weigh alike while trees grow, so that rules for the rare one are found.
