@@ -146,7 +146,7 @@ def test_lm_scores(odd_docs, no_docs):
 
 def test_fertility(odd_docs, no_docs):
     rows = fertility.fertility_rules(odd_docs).collect()
-    assert ids(rows) == ALL
+    assert ids([(r.doc_id,) for r in rows]) == ALL
     by_id = {r.doc_id: r for r in rows if r.doc_id}
     assert by_id[3].base_failed and by_id[4].base_failed and by_id[7].base_failed and by_id[10].base_failed
     assert not by_id[1].base_failed and by_id[9].word_chars == 17
