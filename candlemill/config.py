@@ -13,7 +13,7 @@ class Settings:
 
     # Streaming.
     watermark: str = "10 minutes"
-    dedup_salts: int = 64
+    dedup_salts: int = 0
 
     # Candles and their expected density.
     candle_width: str = "1 minute"

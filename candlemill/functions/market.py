@@ -34,10 +34,11 @@ def is_large_trade(value: str | Column, limit: float = DEFAULTS.large_trade) ->
 def price_ticks(price: str | Column) -> Column:
     """Price in units of 1e-8, the precision silver keeps.
 
-    Fits a long for every price below the cleaning cap, and fails loudly far beyond it.
+    Fits a long for every price below the cleaning cap; prices beyond 9.2e10 count as that.
     """
     price = F.col(price) if isinstance(price, str) else price
-    return F.rint(price * F.lit(1e8)).cast("bigint")
+    most = F.lit(9.2e18)
+    return F.greatest(F.least(F.rint(price * F.lit(1e8)), most), -most).cast("bigint")
 
 
 def strip_quote(symbol: str | Column, quote: str = DEFAULTS.quote) -> Column:

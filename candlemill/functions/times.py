@@ -24,10 +24,16 @@ def as_timestamp(as_of: AsOf) -> Column:
 FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
 
+def has_event_time(ms: str | Column) -> Column:
+    """Whether epoch milliseconds are in the years 1 to 9999. Bounds on the raw column reach the scan."""
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    return ms.between(FIRST_SECOND * 1_000, LAST_SECOND * 1_000 + 999)
+
+
 def event_time(ms: str | Column) -> Column:
     """Timestamp from epoch milliseconds, NULL outside the years 1 to 9999."""
     ms = F.col(ms) if isinstance(ms, str) else ms
-    return F.when(ms.between(FIRST_SECOND * 1_000, LAST_SECOND * 1_000 + 999), F.timestamp_millis(ms))
+    return F.when(has_event_time(ms), F.timestamp_millis(ms))
 
 
 def second_time(seconds: Column) -> Column:

@@ -1,8 +1,8 @@
 """Silver trades to candles: a parquet layer by day, and a database table if one is named.
 
-With a range of days, or the days that silver runs since some moment have touched, only those are
-read and replaced: a late trade has the candles of its day built again. Otherwise the whole history
-is rebuilt.
+With a range of days, or the record of days that silver runs have rebuilt, only those are read and
+replaced: a late trade has the candles of its day built again. Otherwise the whole history is
+rebuilt.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from candlemill.config import DEFAULTS
 from candlemill.operators.candles import candles, silver_order, width_micros
 from candlemill.operators.refine import add_partitions
 from candlemill.session import build_session
-from candlemill.sources.layers import changed_days, of_days, read_layer, write_layer
+from candlemill.sources.layers import read_layer, write_layer
 from candlemill.sources.warehouse import write_warehouse
+from candlemill.streaming.rebuild import candle_days
 
 _DAY_MICROS = 86_400_000_000
 
@@ -26,12 +27,10 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--silver", required=True)
     args.add_argument("--candles", required=True)
     args.add_argument("--width", default=DEFAULTS.candle_width, help="must divide a day")
-    args.add_argument(
-        "--price-cap", type=float, default=DEFAULTS.price_cap, help="the one silver was cleaned with"
-    )
     args.add_argument("--start", help="first day, YYYY-MM-DD")
     args.add_argument("--end", help="last day, YYYY-MM-DD")
-    args.add_argument("--changed-since", help="only days with silver rows processed since, in UTC")
+    args.add_argument("--days", help="record of rebuilt days, of which the new ones are taken")
+    args.add_argument("--checkpoint", help="how far the record has been read")
     args.add_argument("--jdbc-url")
     args.add_argument("--jdbc-table", default="fact_market_candles")
     args.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
@@ -41,13 +40,18 @@ def main(argv: list[str] | None = None) -> None:
     if not width or _DAY_MICROS % width:
         args.error(f"the width must divide a day: {opts.width}")
 
+    if bool(opts.days) != bool(opts.checkpoint) or (opts.days and (opts.start or opts.end)):
+        args.error("--days and --checkpoint go together, without --start and --end")
+
     spark = build_session("gold")
-    trades = read_layer(spark, opts.silver, schemas.SILVER, opts.start, opts.end)
-    if opts.changed_since:
-        trades = of_days(trades, changed_days(trades, opts.changed_since))
-    built = candles(trades, opts.width, **silver_order(replace(DEFAULTS, price_cap=opts.price_cap)))
-    by_day = add_partitions(built, "candle_start_time")
-    write_layer(by_day, opts.candles, schemas.SILVER_PARTITIONS, replace_partitions=True)
+    if opts.days:
+        settings = replace(DEFAULTS, candle_width=opts.width)
+        candle_days(spark, opts.days, opts.silver, opts.candles, opts.checkpoint, settings).awaitTermination()
+    else:
+        trades = read_layer(spark, opts.silver, schemas.SILVER, opts.start, opts.end)
+        built = candles(trades, opts.width, **silver_order())
+        by_day = add_partitions(built, "candle_start_time")
+        write_layer(by_day, opts.candles, schemas.SILVER_PARTITIONS, replace_partitions=True)
 
     if opts.jdbc_url:
         # From the stored candles, so that the trades are not aggregated again.

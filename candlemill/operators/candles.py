@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.config import DEFAULTS, Settings
+from candlemill.config import DEFAULTS
 from candlemill.functions import as_timestamp, price_ticks
 from candlemill.functions.times import AsOf
 
 # More than the span of a signed 64-bit tie-breaker, so that a later time always ranks higher.
 _TIME_STEP = "20000000000000000000BD"
 _LOWEST_TIE = "-9223372036854775808L"
-_LONG_MAX = 2**63 - 1
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -33,60 +32,31 @@ def width_micros(width: str) -> int | None:
     return int(number) * step if step and number.isdigit() else None
 
 
-def silver_order(settings: Settings = DEFAULTS) -> dict[str, object]:
-    """Tie-breaking arguments of :func:`candles` for silver trades, which carry no sequence number.
-
-    Cleaning bounds the price, and silver times are whole milliseconds.
-    """
-    return {
-        "tie": price_ticks("price"),
-        "tie_limit": int(settings.price_cap * 1e8) + 1,
-        "time_step": 1_000,
-    }
+def silver_order() -> dict[str, object]:
+    """Tie-breaking argument of :func:`candles` for silver trades, which carry no sequence number."""
+    return {"tie": price_ticks("price")}
 
 
-def _trade_order(
-    trades: DataFrame,
-    time: Column,
-    width: str,
-    tie: Column | None,
-    tie_limit: int | None,
-    time_step: int,
-) -> Column:
+def _trade_order(trades: DataFrame, time: Column, start: Column, tie: Column | None) -> Column:
     """Ranking of trades within a candle: by time, then by ``tie``.
 
     Packed into one number where the tie-breaker is an integer: Spark hash-aggregates on numbers,
-    but sorts its input when the extremum is taken over a struct. A long holds the offset in the
-    window and a bounded tie-breaker, a decimal any time and tie-breaker at about twice the cost.
+    but sorts its input when the extremum is taken over a struct. The time counts from the start
+    of the window, so that the number fits a decimal for every width and date.
     """
     if tie is None:
         return F.struct(time, F.col("price"))
     kind = trades.select(tie).schema[0].dataType
     if not isinstance(kind, T.IntegralType):
         return F.struct(time, tie, F.col("price"))
-    tie = tie.cast("bigint")
-
-    span = width_micros(width)
-    if tie_limit and span and (span // time_step + 1) * (tie_limit + 1) <= _LONG_MAX:
-        offset = F.pmod(F.unix_micros(time), F.lit(span))
-        slot = F.coalesce(tie + F.lit(1), F.lit(0))
-        in_bounds = tie.isNull() | ((tie >= 0) & (tie < F.lit(tie_limit)))
-        usable = in_bounds & (offset % F.lit(time_step) == 0)
-        steps = (offset / F.lit(time_step)).cast("bigint") if time_step > 1 else offset
-        return F.when(usable, steps * F.lit(tie_limit + 1) + slot).otherwise(
-            F.raise_error(F.lit("trade time or tie-breaker outside the declared bounds")).cast("bigint")
-        )
-
-    ticks = F.unix_micros(time).cast("decimal(18,0)") * F.expr(_TIME_STEP)
-    return ticks + F.coalesce(tie, F.expr(_LOWEST_TIE)).cast("decimal(19,0)")
+    offset = (F.unix_micros(time) - F.unix_micros(start)).cast("decimal(18,0)")
+    return offset * F.expr(_TIME_STEP) + F.coalesce(tie.cast("bigint"), F.expr(_LOWEST_TIE)).cast("decimal(19,0)")
 
 
 def candles(
     trades: DataFrame,
     width: str = DEFAULTS.candle_width,
     tie: str | Column | None = None,
-    tie_limit: int | None = None,
-    time_step: int = 1,
     as_of: AsOf = None,
     time: str = "trade_timestamp",
     ingest: str | None = None,
@@ -99,17 +69,11 @@ def candles(
     Trades without a price count towards volume only. A NULL maker flag counts in neither the
     taker nor the maker volume. Trades without a time are left out.
 
-    ``tie_limit`` declares that the tie-breaker is never negative and lies below it, ``time_step``
-    that times are multiples of so many microseconds. Where that makes the ranking fit a long, it
-    is cheaper; a trade outside the declared bounds then fails the query.
-
     ``ingest`` names a column whose latest value per candle is added as ``last_trade_ingest``:
     ``ingested_at`` tells when the candle was built, not when its trades came in.
     """
     tie = F.col(tie) if isinstance(tie, str) else tie
     price, quantity, maker = F.col("price"), F.col("quantity"), F.col("is_buyer_maker")
-    order = _trade_order(trades, F.col(time).cast("timestamp"), width, tie, tie_limit, time_step)
-    order = F.when(price.isNotNull(), order)
     extra = [F.max(ingest).alias("last_trade_ingest")] if ingest else []
     window = F.window(time, width)
     if trades.isStreaming:
@@ -118,6 +82,8 @@ def candles(
     else:
         # A plain start is a smaller key, and one that Spark's faster hash map takes.
         keyed, start = trades.withColumn("_window", window["start"]), F.col("_window")
+    order = _trade_order(trades, F.col(time).cast("timestamp"), start.cast("timestamp"), tie)
+    order = F.when(price.isNotNull(), order)
     return (
         keyed.groupBy("_window", "symbol")
         .agg(

@@ -16,7 +16,7 @@ from candlemill.functions import (
     price_magnitude,
     trade_side,
 )
-from candlemill.functions.times import AsOf
+from candlemill.functions.times import AsOf, has_event_time
 
 DEDUP_KEYS = ("symbol", "trade_timestamp", "price", "quantity")
 
@@ -41,7 +41,7 @@ def clean_trades(df: DataFrame, price_cap: float = DEFAULTS.price_cap) -> DataFr
         & (quantity > 0)
         & (quantity < F.lit(float("inf")))
         & F.col("symbol").isNotNull()
-        & event_time("trade_time").isNotNull()
+        & has_event_time("trade_time")
     )
 
 

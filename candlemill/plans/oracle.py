@@ -41,12 +41,20 @@ def _candles(width: str, source: str = "trades", tie: str = "trade_id") -> str:
 
 CANDLES = f"WITH {TRADES}, candles AS ({_candles('1 minute')})"
 
+# The messages as text, as the exchange sends them.
+BODY = f"""'{{"stream":"' || event_type || '@trade","data":{{"s":"' || event_type || '","p":"'
+  || CASE WHEN {K} % 17 = 0 THEN 'n/a' ELSE value::VARCHAR END || '","q":"' || {K}
+  || '","T":' || epoch_us(ts) // 1000 || ',"m":' || (user_id % 2 = 0) || '}}}}'"""
+
 ENVELOPES = f"""
-WITH envelopes AS (
+WITH bodies AS (SELECT *, {BODY} AS body FROM events),
+envelopes AS (
   SELECT *, {K} AS k,
+         CASE WHEN {K} % 11 = 0 THEN '{{"stream":"status"}}' WHEN {K} % 13 = 0 THEN left(body, length(body) - 1)
+              ELSE body END AS message,
          CASE WHEN {K} % 11 = 0 THEN 'no data' WHEN {K} % 13 = 0 THEN 'malformed'
               WHEN {K} % 17 = 0 THEN 'price is not a number' ELSE 'accepted' END AS outcome
-  FROM events
+  FROM bodies
 )"""
 
 HOURLY = """
@@ -144,6 +152,46 @@ def _repeated(source: str, keys: str) -> str:
     )
 
 
+SILVER = f"""
+WITH {RECORDS}, timed AS (
+  SELECT *, make_timestamp(trade_time * 1000) AS trade_timestamp, CAST(ingested_at AS TIMESTAMP) AS ingest_timestamp
+  FROM records WHERE price > 0 AND price < 1000000 AND quantity > 0
+), one AS (
+  SELECT * FROM timed
+  QUALIFY row_number() OVER (PARTITION BY symbol, trade_timestamp, price, quantity
+                             ORDER BY ingest_timestamp, is_buyer_maker) = 1
+)
+SELECT source, symbol, price, quantity, is_buyer_maker, trade_timestamp, ingest_timestamp,
+       round(price * quantity, 8) AS trade_value, CASE WHEN is_buyer_maker THEN 'SELL' ELSE 'BUY' END AS trade_side,
+       round(ln(price) / ln(10.0), 2) AS price_magnitude, round(price * quantity, 8) > 10000 AS is_large_trade,
+       {BUILT_AT} AS processed_at, {_parts('trade_timestamp', 'year', 'month', 'day')}
+FROM one"""
+
+# Candles of silver's trades.
+CLEAN = f"""
+WITH {RECORDS}, clean AS (
+  SELECT DISTINCT ON (symbol, trade_timestamp, price, quantity)
+         symbol, price, quantity, is_buyer_maker, make_timestamp(trade_time * 1000) AS trade_timestamp
+  FROM records WHERE price > 0 AND price < 1000000 AND quantity > 0
+  ORDER BY symbol, trade_timestamp, price, quantity, ingested_at, is_buyer_maker
+)"""
+
+_FAULT = "minute(candle_start_time) % 10"
+DIRTY_CANDLES = f"""
+{CANDLES}, dirty AS (
+  SELECT * REPLACE (
+    CASE WHEN {_FAULT} = 7 THEN date_trunc('hour', candle_start_time) WHEN {_FAULT} <> 8 THEN candle_start_time END
+      AS candle_start_time,
+    CASE WHEN {_FAULT} <> 1 THEN symbol END AS symbol,
+    CASE WHEN {_FAULT} = 2 THEN high_price + 1 ELSE open_price END AS open_price,
+    CASE WHEN {_FAULT} = 3 THEN low_price - 1 ELSE close_price END AS close_price,
+    CASE WHEN {_FAULT} = 4 THEN high_price + 1 ELSE low_price END AS low_price,
+    CASE WHEN {_FAULT} = 5 THEN total_volume + 1 ELSE buy_volume_taker END AS buy_volume_taker,
+    CASE WHEN {_FAULT} = 6 THEN 0 ELSE trade_count END AS trade_count),
+    minute(candle_start_time) * 2.0 AS completeness_pct
+  FROM candles
+)"""
+
 ORACLE: dict[str, str] = {
     "envelope_normalise": ENVELOPES
     + """
@@ -152,13 +200,21 @@ SELECT 'exchange' AS source, event_type AS symbol, value AS price, CAST(k AS DOU
        '2024-02-01T00:00:00.000000' AS ingested_at
 FROM envelopes WHERE outcome = 'accepted'""",
     "envelope_rejects": ENVELOPES
-    + " SELECT outcome, count(*) AS messages FROM envelopes GROUP BY outcome",
+    + """
+SELECT outcome, CASE WHEN outcome <> 'accepted' THEN message END AS rejected_value, count(*) AS messages
+FROM envelopes GROUP BY ALL""",
     "message_routing": ENVELOPES
     + """
 SELECT CASE WHEN outcome = 'accepted' THEN 'trades' ELSE 'rejects' END AS topic,
-       CASE WHEN outcome = 'accepted' THEN event_type END AS key, count(*) AS messages
-FROM envelopes WHERE outcome <> 'no data' GROUP BY ALL""",
+       CASE WHEN outcome = 'accepted' THEN event_type END AS key,
+       CASE WHEN outcome = 'accepted'
+            THEN '{"source":"exchange","symbol":"' || event_type || '","price":' || value || ',"quantity":'
+                 || k::DOUBLE || ',"trade_time":' || epoch_us(ts) // 1000 || ',"is_buyer_maker":' || (user_id % 2 = 0)
+                 || ',"ingested_at":"2024-02-01T00:00:00.000000"}'
+            ELSE message END AS value
+FROM envelopes WHERE outcome <> 'no data'""",
     "sentiment_parse": f"WITH {PAYLOADS} SELECT date, fng_value, fng_classification FROM newest",
+    "sentiment_newest": f"WITH {PAYLOADS} SELECT date, fng_value, fng_classification FROM newest",
     "bronze_partitions": f"""
 WITH {RECORDS}, timed AS (SELECT *, make_timestamp(trade_time * 1000) AS timestamp FROM records)
 SELECT *, {_parts('timestamp', 'year', 'month', 'day', 'hour')} FROM timed""",
@@ -194,16 +250,8 @@ QUALIFY row_number() OVER (
   PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
            l_returnflag, l_linestatus) = 1""",
-    "layer_replace": f"""
-WITH {RECORDS}, timed AS (
-  SELECT *, make_timestamp(trade_time * 1000) AS trade_timestamp,
-         CAST(ingested_at AS TIMESTAMP) AS ingest_timestamp
-  FROM records WHERE price > 0 AND price < 1000000 AND quantity > 0
-)
-SELECT symbol, price, quantity, trade_timestamp, min(ingest_timestamp) AS ingest_timestamp,
-       round(price * quantity, 8) AS trade_value,
-       {_parts('trade_timestamp', 'year', 'month', 'day')}
-FROM timed GROUP BY ALL""",
+    "layer_replace": SILVER
+    + " WHERE trade_timestamp >= TIMESTAMP '2024-01-05' AND trade_timestamp < TIMESTAMP '2024-01-21'",
     "history_load": f"""
 WITH {TRADES}
 SELECT symbol, price, quantity, is_buyer_maker, trade_timestamp,
@@ -220,6 +268,12 @@ SELECT coalesce(n.date, s.date) AS date,
 FROM sentiment s FULL JOIN new n ON s.date = n.date""",
     "candles_1m": f"WITH {TRADES} {_candles('1 minute')}",
     "candles_1h": f"WITH {TRADES} {_candles('1 hour')}",
+    "candles_7h": f"""
+WITH {TRADES}, wild AS (
+  SELECT * REPLACE (price * CASE WHEN trade_id % 10 = 0 THEN 1000000.0::DOUBLE ELSE 1 END AS price,
+                    trade_timestamp + to_microseconds(trade_id % 1000) AS trade_timestamp)
+  FROM trades
+) {_candles('7 hours', 'wild', 'price')}""",
     "candles_by_price": f"""
 WITH {TRADES}, coarse AS (
   SELECT * REPLACE (date_trunc('second', trade_timestamp) AS trade_timestamp),
@@ -236,7 +290,7 @@ SELECT built.*, last_trade_ingest FROM built JOIN latest USING (candle_start_tim
   SELECT CAST(candle_start_time AS DATE) AS date, upper(symbol) AS symbol,
          round(avg(close_price), 9) AS avg_price, max(high_price) AS max_price,
          min(low_price) AS min_price, round(sum(total_volume), 2) AS total_volume
-  FROM candles GROUP BY ALL
+  FROM candles WHERE symbol IN ('click', 'error', 'purchase') GROUP BY ALL
 )
 SELECT d.*, s.fng_value, s.fng_classification
 FROM daily d LEFT JOIN sentiment s ON d.date = s.date ORDER BY d.date DESC""",
@@ -277,21 +331,22 @@ SELECT *, round(buy_volume / nullif(buy_volume + sell_volume, 0), 9) AS buy_shar
 SELECT CAST(hour(candle_start_time) AS INTEGER) AS hour_of_day, symbol,
        CAST(sum(trade_count) AS BIGINT) AS trade_count
 FROM candles GROUP BY ALL""",
-    "quality_candles": f"{CANDLES} "
+    "quality_candles": DIRTY_CANDLES
     + _report(
         {
-            "candle_start_time_not_null": _failing("candles", "candle_start_time IS NULL"),
-            "symbol_not_null": _failing("candles", "symbol IS NULL"),
-            "open_within_range": _failing("candles", "open_price NOT BETWEEN low_price AND high_price"),
-            "close_within_range": _failing("candles", "close_price NOT BETWEEN low_price AND high_price"),
-            "low_not_above_high": _failing("candles", "low_price > high_price"),
+            "candle_start_time_not_null": _failing("dirty", "candle_start_time IS NULL"),
+            "symbol_not_null": _failing("dirty", "symbol IS NULL"),
+            "open_within_range": _failing("dirty", "open_price NOT BETWEEN low_price AND high_price"),
+            "close_within_range": _failing("dirty", "close_price NOT BETWEEN low_price AND high_price"),
+            "low_not_above_high": _failing("dirty", "low_price > high_price"),
             "volume_parts_within_total": _failing(
-                "candles", "buy_volume_taker + sell_volume_maker > total_volume + 0.000001"
+                "dirty", "buy_volume_taker + sell_volume_maker > total_volume + 0.000001"
             ),
-            "trade_count_positive": _failing("candles", "trade_count < 1"),
-            "unique_candle_start_time_symbol": _repeated("candles", "candle_start_time, symbol"),
+            "trade_count_positive": _failing("dirty", "trade_count < 1"),
+            "completeness_pct_within_0_100": _failing("dirty", "completeness_pct NOT BETWEEN 0 AND 100"),
+            "unique_candle_start_time_symbol": _repeated("dirty", "candle_start_time, symbol"),
         },
-        "candles",
+        "dirty",
     ),
     "quality_trades": DIRTY
     + _report(
@@ -305,21 +360,11 @@ FROM candles GROUP BY ALL""",
         "dirty",
     ),
     "warehouse_roundtrip": f"WITH {TRADES} {_candles('1 hour')}",
-    "stream_bronze_to_silver": f"""
-WITH {RECORDS}, timed AS (
-  SELECT DISTINCT symbol, price, quantity, make_timestamp(trade_time * 1000) AS trade_timestamp
-  FROM records WHERE price > 0 AND price < 1000000 AND quantity > 0
-)
-SELECT *, round(price * quantity, 8) AS trade_value,
-       round(ln(price) / ln(10.0), 2) AS price_magnitude,
-       round(price * quantity, 8) > 10000 AS is_large_trade,
-       {_parts('trade_timestamp', 'year', 'month', 'day')}
-FROM timed""",
+    "stream_bronze_to_silver": SILVER,
     "stream_candles": f"""
 WITH {RECORDS}, timed AS (
   SELECT *, make_timestamp(trade_time * 1000) AS trade_timestamp FROM records
-), built AS ({_candles('1 hour', 'timed', 'price')})
-SELECT * FROM built
-WHERE candle_start_time + INTERVAL 1 HOUR
-      <= (SELECT max(trade_timestamp) - INTERVAL 10 MINUTE FROM timed)""",
+) {_candles('1 hour', 'timed', 'price')}""",
+    "silver_days": SILVER,
+    "gold_increment": f"{CLEAN} {_candles('1 hour', 'clean', 'price')}",
 }

@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 from candlemill import schemas
 from candlemill.config import Settings
 from candlemill.operators import decode, health, history, marts, quality, refine
-from candlemill.operators.candles import candles
+from candlemill.operators.candles import candles, silver_order
 from candlemill.operators.upsert import latest_per_key, upsert
 from candlemill.plans import views
 from candlemill.session import streaming_session
 from candlemill.sources import layers, staging, warehouse
-from candlemill.streaming import runs
+from candlemill.streaming import rebuild, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-PAIRS = ["clickusdt", "errorusdt", "purchaseusdt", "signupusdt", "viewusdt"]
+# The pairs of the price mart; candles of the others are left out of it.
+PAIRS = ["clickusdt", "errorusdt", "purchaseusdt"]
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
@@ -38,15 +39,13 @@ def envelope_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = decode.normalise_envelope(views.envelopes(spark, sf_dir), as_of=views.BUILT_AT)
-    return both.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")).agg(
-        F.count("*").alias("messages")
-    )
+    outcome = F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
+    return both.groupBy(outcome, "rejected_value").agg(F.count("*").alias("messages"))
 
 
 def message_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = decode.normalise_envelope(views.envelopes(spark, sf_dir), as_of=views.BUILT_AT)
-    routed = decode.route_messages(both, "trades", "rejects")
-    return routed.groupBy("topic", "key").agg(F.count("*").alias("messages"))
+    return decode.route_messages(both, "trades", "rejects")
 
 
 def sentiment_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +54,12 @@ def sentiment_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(readings, ["date"], "reading_time").drop("reading_time")
 
 
+def sentiment_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first reading of each payload, which is its newest."""
+    readings = decode.parse_sentiment(views.sentiment_payloads(spark, sf_dir), newest_only=True)
+    return readings.drop("reading_time")
+
+
 # -- layers -----------------------------------------------------------------------------------
 
 
@@ -109,18 +114,7 @@ def layer_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging.new_folder(spark, "silver")
     for _ in range(2):
         layers.write_layer(trades, path, schemas.SILVER_PARTITIONS, replace_partitions=True)
-    back = layers.read_layer(spark, path, schemas.SILVER, start="2024-01-01", end="2024-12-31")
-    return views.naive(
-        back.select(
-            "symbol",
-            "price",
-            "quantity",
-            "trade_timestamp",
-            "ingest_timestamp",
-            "trade_value",
-            *schemas.SILVER_PARTITIONS,
-        )
-    )
+    return views.naive(layers.read_layer(spark, path, schemas.SILVER, start="2024-01-05", end="2024-01-20"))
 
 
 def history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +149,19 @@ def _candle_query(width: str) -> Query:
     return lambda spark, sf_dir: views.naive(views.trade_candles(spark, sf_dir, width))
 
 
+def candles_7h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A width that divides no day, times of microseconds, prices far above silver's cap."""
+    number = F.col("trade_id")
+    micros = F.timestamp_micros(F.unix_micros("trade_timestamp") + number % 1000)
+    trades = views.trades(spark, sf_dir).withColumns(
+        {
+            "price": F.col("price") * F.when(number % 10 == 0, 1_000_000.0).otherwise(1.0),
+            "trade_timestamp": micros,
+        }
+    )
+    return views.naive(candles(trades, "7 hours", **silver_order(), as_of=views.BUILT_AT))
+
+
 def candles_by_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades of the same time ranked by price, as when the feed carries no sequence number.
 
@@ -226,9 +233,9 @@ def chart_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The candle rules over good candles."""
-    built = views.trade_candles(spark, sf_dir)
-    return quality.quality_report(built, quality.candle_rules(), quality.CANDLE_KEYS)
+    """The candle rules over candles of which some break each of them."""
+    rules = quality.candle_rules() | quality.completeness_rules()
+    return quality.quality_report(views.dirty_candles(spark, sf_dir), rules, quality.CANDLE_KEYS)
 
 
 def quality_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,43 +277,77 @@ def stream_bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_of=views.BUILT_AT,
         files_per_day=1,
     ).awaitTermination()
-    return views.naive(
-        layers.read_layer(spark, f"{work}/silver", schemas.SILVER).select(
-            "symbol",
-            "price",
-            "quantity",
-            "trade_timestamp",
-            "trade_value",
-            "price_magnitude",
-            "is_large_trade",
-            *schemas.SILVER_PARTITIONS,
-        )
-    )
+    return views.naive(layers.read_layer(spark, f"{work}/silver", schemas.SILVER))
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, gold: bool) -> str:
+    """Layers of two loads on the same checkpoints. The second holds late trades of every day.
+
+    Every message is sent twice, and each load looks at its bronze files in several micro-batches.
+    """
+    work = staging.new_folder(spark, "days")
+    records = views.records(spark, sf_dir)
+    session = streaming_session(spark)
+    for late in (False, True):
+        sent = decode.to_messages(records.where((F.col("quantity") % 3 == 0) == late))
+        sent.unionByName(sent).write.mode("append").parquet(f"{work}/topic")
+        messages = session.readStream.schema(schemas.MESSAGE).parquet(f"{work}/topic")
+        runs.run_bronze(messages, f"{work}/bronze", f"{work}/c/bronze").awaitTermination()
+        rebuild.silver_days(
+            spark,
+            f"{work}/bronze",
+            f"{work}/silver",
+            f"{work}/c/silver",
+            f"{work}/changed",
+            as_of=views.BUILT_AT,
+            max_files=500,
+        ).awaitTermination()
+        if gold:
+            rebuild.candle_days(
+                spark,
+                f"{work}/changed",
+                f"{work}/silver",
+                f"{work}/candles",
+                f"{work}/c/candles",
+                Settings(candle_width="1 hour"),
+                as_of=views.BUILT_AT,
+            ).awaitTermination()
+    return work
+
+
+def silver_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of two loads, the days of new files rebuilt."""
+    work = _two_loads(spark, sf_dir, gold=False)
+    return views.naive(layers.read_layer(spark, f"{work}/silver", schemas.SILVER))
+
+
+def gold_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles of two loads, the days that silver rebuilt made anew."""
+    work = _two_loads(spark, sf_dir, gold=True)
+    built = spark.read.schema(schemas.CANDLES).parquet(f"{work}/candles")
+    return views.naive(built.select(*schemas.CANDLES.names))
 
 
 def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly candles of the windows that a drained stream has closed."""
+    """Hourly candles of a drained stream: the windows it has closed, and those still open."""
     work = staging.new_folder(spark, "stream")
     typed = refine.type_trades(views.records(spark, sf_dir))
     trades = refine.add_partitions(refine.enrich_trades(typed, as_of=views.BUILT_AT), "trade_timestamp")
     layers.write_layer(trades, f"{work}/silver", schemas.SILVER_PARTITIONS)
 
     session = streaming_session(spark, spark.sparkContext.defaultParallelism)
+    layer, built, settings = f"{work}/silver", f"{work}/candles", Settings(candle_width="1 hour")
     runs.run_candles(
-        session,
-        f"{work}/silver",
-        f"{work}/candles",
-        f"{work}/checkpoint",
-        Settings(candle_width="1 hour"),
-        as_of=views.BUILT_AT,
+        session, layer, built, f"{work}/checkpoint", settings, as_of=views.BUILT_AT
     ).awaitTermination()
-    return views.naive(spark.read.schema(schemas.CANDLES).parquet(f"{work}/candles"))
+    return views.naive(runs.current_candles(spark, layer, built, settings, as_of=views.BUILT_AT))
 
 
 QUERIES: dict[str, Query] = {
     "envelope_normalise": envelope_normalise,
     "envelope_rejects": envelope_rejects,
     "message_routing": message_routing,
+    "sentiment_newest": sentiment_newest,
     "bronze_partitions": bronze_partitions,
     "silver_clean": silver_clean,
     "silver_enrich": silver_enrich,
@@ -315,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "layer_replace": layer_replace,
     "candles_1m": _candle_query("1 minute"),
     "candles_1h": _candle_query("1 hour"),
+    "candles_7h": candles_7h,
     "candles_by_price": candles_by_price,
     "daily_price_vs_sentiment": daily_price_vs_sentiment,
     "hourly_ingestion": hourly_ingestion,
@@ -334,4 +376,6 @@ QUERIES: dict[str, Query] = {
     "warehouse_roundtrip": warehouse_roundtrip,
     "stream_bronze_to_silver": stream_bronze_to_silver,
     "stream_candles": stream_candles,
+    "silver_days": silver_days,
+    "gold_increment": gold_increment,
 }

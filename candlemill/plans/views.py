@@ -91,6 +91,26 @@ def trade_candles(spark: SparkSession, sf_dir: str, width: str = "1 minute") ->
     return candles(trades(spark, sf_dir), width, tie="trade_id", as_of=BUILT_AT)
 
 
+def dirty_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles with a fault in most minutes, another one in each of ten, and a completeness."""
+    minute = F.minute("candle_start_time")
+    fault, low, high = minute % 10, F.col("low_price"), F.col("high_price")
+    hour = F.date_trunc("hour", "candle_start_time")
+    return trade_candles(spark, sf_dir).withColumns(
+        {
+            "symbol": F.when(fault != 1, F.col("symbol")),
+            "open_price": F.when(fault == 2, high + 1).otherwise(F.col("open_price")),
+            "close_price": F.when(fault == 3, low - 1).otherwise(F.col("close_price")),
+            "low_price": F.when(fault == 4, high + 1).otherwise(low),
+            "buy_volume_taker": F.when(fault == 5, F.col("total_volume") + 1).otherwise(F.col("buy_volume_taker")),
+            "trade_count": F.when(fault == 6, 0).otherwise(F.col("trade_count")),
+            "completeness_pct": minute * 2.0,
+            # Last, as the minute tells the fault: repeated keys, and no key.
+            "candle_start_time": F.when(fault == 7, hour).when(fault != 8, F.col("candle_start_time")),
+        }
+    )
+
+
 def pair_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candles of currency pairs, some in upper case."""
     pair = F.concat("symbol", F.lit("usdt"))

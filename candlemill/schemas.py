@@ -53,6 +53,9 @@ SILVER = _schema(
     **dict.fromkeys(SILVER_PARTITIONS, INT),
 )
 
+# Days that a run has rebuilt.
+DAYS = _schema(**dict.fromkeys(SILVER_PARTITIONS, INT))
+
 CANDLES = _schema(
     candle_start_time=TIME,
     symbol=TEXT,

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from candlemill.functions import as_timestamp
-from candlemill.functions.times import AsOf
 from candlemill.streaming.drain import start_drain
 
 DAY = ["year", "month", "day"]
@@ -40,14 +38,14 @@ def read_layer(
     return df if start is None and end is None else df.where(in_days(start, end))
 
 
-def changed_days(layer: DataFrame, since: AsOf, stamp: str = "processed_at") -> DataFrame:
-    """The days of a layer that got rows at or after ``since``."""
-    return layer.where(F.col(stamp) >= as_timestamp(since)).select(*DAY).distinct()
-
-
 def of_days(layer: DataFrame, days: DataFrame) -> DataFrame:
-    """All rows of the named days. Spark skips the directories of the others when it runs."""
-    return layer.join(days, DAY, "left_semi")
+    """All rows of the named days (year, month, day).
+
+    Days go into the predicate as literals, so only their directories are listed and read. They
+    are no more than the directories of a layer, which the driver lists anyway.
+    """
+    listed = [date(*row) for row in days.select(*DAY).distinct().sort(*DAY).collect()]
+    return layer.where(F.make_date("year", "month", "day").isin(listed))
 
 
 def stream_layer(

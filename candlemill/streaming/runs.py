@@ -1,4 +1,4 @@
-"""The three streaming runs of the layers."""
+"""The streaming runs of the layers."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from candlemill.config import DEFAULTS, Settings
 from candlemill.functions.times import AsOf
 from candlemill.operators.candles import candles, silver_order
 from candlemill.operators.decode import decode_records
-from candlemill.operators.refine import bronze, silver
-from candlemill.sources.layers import stream_layer, stream_to_layer
+from candlemill.operators.refine import add_partitions, bronze, silver
+from candlemill.sources.layers import read_layer, stream_layer, stream_to_layer
 
 
 def run_bronze(
@@ -51,12 +51,14 @@ def run_silver(
     checkpoint: str,
     settings: Settings = DEFAULTS,
     as_of: AsOf = None,
-    max_files: int | None = None,
     files_per_day: int = 0,
 ) -> StreamingQuery:
-    """New bronze files to the silver layer. ``max_files`` bounds a micro-batch, at the price that
-    trades far out of time order between files count as late."""
-    trades = stream_layer(spark, bronze_path, schemas.BRONZE, max_files)
+    """New bronze files to the silver layer, by a watermark: trades behind it are dropped and counted.
+
+    All new files are one micro-batch, because a split one would make the rest late.
+    :func:`candlemill.streaming.rebuild.silver_days` drops nothing.
+    """
+    trades = stream_layer(spark, bronze_path, schemas.BRONZE)
     return stream_to_layer(
         silver(trades, settings, as_of).select(*schemas.SILVER.names),
         path,
@@ -74,12 +76,31 @@ def run_candles(
     checkpoint: str,
     settings: Settings = DEFAULTS,
     as_of: AsOf = None,
-    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Candles of the windows that the watermark has closed. The newest stay open until later
-    trades arrive, so a batch run over silver is the complete form."""
-    trades = stream_layer(spark, silver_path, schemas.SILVER, max_files).withWatermark(
+    """Candles of the windows that the watermark has closed, by day. The newest stay open until
+    later trades arrive; :func:`current_candles` adds them."""
+    trades = stream_layer(spark, silver_path, schemas.SILVER).withWatermark(
         "trade_timestamp", settings.watermark
     )
-    built = candles(trades, settings.candle_width, **silver_order(settings), as_of=as_of)
-    return stream_to_layer(built, path, checkpoint, name="candles")
+    built = candles(trades, settings.candle_width, **silver_order(), as_of=as_of)
+    by_day = add_partitions(built, "candle_start_time")
+    return stream_to_layer(by_day, path, checkpoint, schemas.SILVER_PARTITIONS, "candles", files_per_partition=1)
+
+
+def current_candles(
+    spark: SparkSession, silver_path: str, path: str, settings: Settings = DEFAULTS, as_of: AsOf = None
+) -> DataFrame:
+    """Candles that :func:`run_candles` wrote and those of the windows still open, from their trades.
+
+    The watermark is one for all symbols and closes windows in order, so the open ones are those
+    that start after every written one. Only the days from there on are read.
+    """
+    closed = spark.read.schema(schemas.CANDLES).parquet(path).select(*schemas.CANDLES.names)
+    edge = closed.agg(F.max("candle_start_time").cast("string")).first()[0]
+    trades = read_layer(spark, silver_path, schemas.SILVER, edge and edge[:10])
+    if edge:
+        start = F.window("trade_timestamp", settings.candle_width)["start"]
+        edge = F.lit(edge).cast("timestamp")
+        trades = trades.where(F.col("trade_timestamp") > edge).withColumn("_start", start)
+        trades = trades.where(F.col("_start") > edge).drop("_start")
+    return closed.unionByName(candles(trades, settings.candle_width, **silver_order(), as_of=as_of))

@@ -132,33 +132,24 @@ def test_width():
     assert width_micros("a month") is None
 
 
-BOUNDED = {"tie_limit": 1000, "time_step": 1}
-
-
-def test_long_ranking(frame):
-    t, u = "2024-01-01 00:00:10.000001", "1969-12-31 23:59:59.999999"
-    df = frame(
-        TRADES,
-        ("A", t, 5, 1, True, 5),
-        ("A", t, 7, 1, True, 0),
-        ("A", t, 6, 1, True, 999),
-        ("B", t, 1, 1, True, 999),
-        ("B", "2024-01-01 00:00:10.000002", 2, 1, True, None),
-        ("C", u, 1, 1, True, 3),
-        ("C", "1969-12-31 23:59:00", 2, 1, True, 4),
-    )
-    built = candles(df, tie="trade_id", **BOUNDED)
-    plan = built._jdf.queryExecution().executedPlan().toString()
-    assert "decimal" not in plan and plan.count("HashAggregate") == 2
-    found = {r.symbol: (r.open_price, r.close_price) for r in built.collect()}
-    assert found == {"A": (7.0, 6.0), "B": (1.0, 2.0), "C": (2.0, 1.0)}
+WILD = (
+    ("A", "2024-01-01 00:00:10.000001", 5, 1, True, 5),
+    ("A", "2024-01-01 00:00:10.000001", 7, 1, True, -3),
+    ("A", "2024-01-01 00:00:10.000001", 6e12, 1, True, 9),
+    ("B", "1969-12-31 23:59:59.999999", 1, 1, True, 3),
+    ("B", "1969-12-31 23:59:00", 2, 1, True, None),
+    ("C", "55969-05-06 07:08:09.000001", 3, 1, True, 2),
+    ("C", "55969-05-06 07:08:09", 4, 1, True, 2**63 - 1),
+)
 
 
-@pytest.mark.parametrize(("tie", "step"), [(1000, 1), (-1, 1), (5, 1000)])
-def test_bounds_are_enforced(frame, tie, step):
-    df = frame(TRADES, ("A", "2024-01-01 00:00:10.000001", 5, 1, True, tie))
-    with pytest.raises(Exception, match="outside the declared bounds"):
-        candles(df, tie="trade_id", tie_limit=1000, time_step=step).collect()
+@pytest.mark.parametrize("width", ["1 minute", "5 minutes", "7 hours", "1 week"])
+def test_one_ranking_for_every_width(frame, width):
+    """Far times, microseconds and prices above the cap rank alike whatever the width."""
+    built = candles(frame(TRADES, *WILD), width, tie="trade_id").select("symbol", "open_price", "close_price")
+    assert rows(built, "symbol") == [("A", 7.0, 6e12), ("B", 2.0, 1.0), ("C", 4.0, 3.0)]
+    built = candles(frame(TRADES, *WILD), width, **silver_order()).select("symbol", "open_price", "close_price")
+    assert rows(built, "symbol") == [("A", 5.0, 6e12), ("B", 2.0, 1.0), ("C", 4.0, 3.0)]
 
 
 def test_int_ties(frame):
@@ -167,14 +158,8 @@ def test_int_ties(frame):
         ("A", "2024-01-01 00:00:10", 5, 1, True, 2**31 - 1),
         ("A", "2024-01-01 00:00:10", 6, 1, True, 0),
     )
-    for limit in (None, 2**31):
-        got = candles(df, tie="trade_id", tie_limit=limit).first()
-        assert (got.open_price, got.close_price) == (6.0, 5.0)
-
-
-def test_wide_windows_use_a_decimal(frame):
-    built = candles(frame(TRADES), "1 week", tie="trade_id", tie_limit=10**12)
-    assert "decimal" in built._jdf.queryExecution().executedPlan().toString()
+    got = candles(df, tie="trade_id").first()
+    assert (got.open_price, got.close_price) == (6.0, 5.0)
 
 
 def test_silver_order_equals_the_exact_form(frame):
@@ -189,4 +174,3 @@ def test_silver_order_equals_the_exact_form(frame):
         fast = candles(df, width, **silver_order(), as_of="2024-02-01")
         exact = candles(df, width, as_of="2024-02-01")
         assert fast.exceptAll(exact).count() == 0 and fast.count() == exact.count()
-    assert "decimal" not in candles(df, **silver_order())._jdf.queryExecution().executedPlan().toString()

@@ -40,11 +40,14 @@ def lake(spark, tmp_path_factory):
 
 def test_layers(spark, lake, capsys):
     bronze.main(["--files", f"{lake}/topic", "--bronze", f"{lake}/bronze", "--checkpoint", f"{lake}/c/b"])
-    silver.main(
-        ["--bronze", f"{lake}/bronze", "--silver", f"{lake}/silver", "--checkpoint", f"{lake}/c/s", "--state-partitions", "2"]
-    )
+    run = ["--bronze", f"{lake}/bronze", "--silver", f"{lake}/silver", "--checkpoint", f"{lake}/c/s"]
+    silver.main([*run, "--days", f"{lake}/days"])
+    assert "1600 new bronze rows" in capsys.readouterr().out
+    stream = ["--bronze", f"{lake}/bronze", "--silver", f"{lake}/appended", "--checkpoint", f"{lake}/c/a"]
+    silver.main([*stream, "--stream", "--state-partitions", "2"])
     assert "1600 bronze rows read, 0 dropped as late" in capsys.readouterr().out
-    assert spark.read.schema(schemas.SILVER).parquet(f"{lake}/silver").count() == 800
+    for layer in ("silver", "appended"):
+        assert spark.read.schema(schemas.SILVER).parquet(f"{lake}/{layer}").count() == 800
 
 
 def test_candles(spark, lake):
@@ -60,12 +63,15 @@ def test_candles(spark, lake):
     after = again.groupBy("day").agg(F.max("ingested_at")).collect()
     assert rows(again.drop("ingested_at"), *order) == whole
     assert dict(before)[1] == dict(after)[1] and dict(before)[2] < dict(after)[2]
-    # The days of the last silver run: both.
-    gold.main(["--silver", f"{lake}/silver", "--candles", f"{lake}/candles", "--changed-since", "2024-01-01"])
-    assert rows(spark.read.parquet(f"{lake}/candles").drop("ingested_at"), *order) == whole
-    # None since the far future: nothing is replaced.
-    gold.main(["--silver", f"{lake}/silver", "--candles", f"{lake}/candles", "--changed-since", "2999-01-01"])
-    assert rows(spark.read.parquet(f"{lake}/candles").drop("ingested_at"), *order) == whole
+    # The days of the silver run, both, and then none.
+    record = ["--days", f"{lake}/days", "--checkpoint", f"{lake}/c/g"]
+    stamps = [dict(after)]
+    for _ in range(2):
+        gold.main(["--silver", f"{lake}/silver", "--candles", f"{lake}/candles", *record])
+        again = spark.read.parquet(f"{lake}/candles")
+        assert rows(again.drop("ingested_at"), *order) == whole
+        stamps.append(dict(again.groupBy("day").agg(F.max("ingested_at")).collect()))
+    assert stamps[0][1] < stamps[1][1] and stamps[0][2] < stamps[1][2] and stamps[1] == stamps[2]
 
 
 def test_history(spark, lake):

@@ -38,18 +38,17 @@ def test_day_range_prunes_partitions(spark, frame, tmp_path):
     assert ">= 2024-02-01" in pruned and "<= 2024-02-01" in pruned
 
 
-def test_changed_days(spark, frame, tmp_path):
+def test_of_days(spark, frame, tmp_path):
     path = str(tmp_path / "silver")
-    old = trades(frame, *DAYS).withColumn("processed_at", F.lit("2024-03-01").cast("timestamp"))
-    new = trades(frame, DAYS[1]).withColumn("processed_at", F.lit("2024-03-02").cast("timestamp"))
-    layers.write_layer(old, path, schemas.SILVER_PARTITIONS)
-    layers.write_layer(new, path, schemas.SILVER_PARTITIONS)
-    layer = layers.read_layer(spark, path, new.schema)
-    days = layers.changed_days(layer, "2024-03-02")
-    assert rows(days) == [(2024, 2, 1)]
-    assert layers.of_days(layer, days).count() == 3
-    plan = layers.of_days(layer, days)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+    layers.write_layer(trades(frame, *DAYS), path, schemas.SILVER_PARTITIONS)
+    layer = layers.read_layer(spark, path, trades(frame, *DAYS).schema)
+    days = layer.where("day = 1 AND month = 2").select(*layers.DAY)
+    found = layers.of_days(layer, days)
+    assert {(r.year, r.month, r.day) for r in found.collect()} == {(2024, 2, 1)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "2024-02-01" in pruned and "dynamicpruning" not in pruned
+    assert layers.of_days(layer, days.where("false")).count() == 0
 
 
 def test_replacing_partitions_leaves_the_others(spark, frame, tmp_path):
@@ -127,8 +126,9 @@ def test_stage_reads_back(spark, frame):
     assert staging.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def session_like(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default=None: folder if folder is not None else default)
+def session_like(master, folder=None, warehouse=None):
+    settings = {staging.CHECKPOINT_DIR: folder, staging.WAREHOUSE_DIR: warehouse}
+    conf = SimpleNamespace(get=lambda key, default=None: settings[key] or default)
     context = SimpleNamespace(master=master, getConf=lambda: conf)
     return SimpleNamespace(sparkContext=context, conf=conf)
 
@@ -137,7 +137,7 @@ def test_shared_folder_is_required_on_a_cluster():
     assert staging.shared_folder(session_like("yarn", "hdfs:///tmp/x/")) == "hdfs:///tmp/x"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_folder(session_like("yarn"))
-    assert staging.shared_folder(session_like("local[2]"))
+    assert staging.shared_folder(session_like("local[2]", warehouse="/w/")) == "/w/_staged"
 
 
 def test_topic_options():

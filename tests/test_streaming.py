@@ -16,7 +16,8 @@ from candlemill.operators.refine import bronze, silver
 from candlemill.session import streaming_session
 from candlemill.sources.layers import read_layer, stream_layer
 from candlemill.streaming.drain import input_rows, late_rows
-from candlemill.streaming.runs import rejected, run_bronze, run_candles, run_silver
+from candlemill.streaming.rebuild import candle_days, silver_days
+from candlemill.streaming.runs import current_candles, rejected, run_bronze, run_candles, run_silver
 
 START = 1_704_067_200_000  # 2024-01-01
 MINUTE = 60_000
@@ -178,7 +179,7 @@ def test_candle_stream_equals_batch_for_closed_windows(spark, tmp_path):
     lake.candles()
     trades = lake.read("silver", schemas.SILVER)
     batch = candles(trades, as_of="2024-02-01").cache()
-    streamed = lake.read("candles", schemas.CANDLES)
+    streamed = lake.read("candles", schemas.CANDLES).select(*schemas.CANDLES.names)
     edge = trades.agg(F.max("trade_timestamp")).first()[0]
     closed = batch.where(
         F.col("candle_start_time") + F.expr("interval 1 minute") <= F.lit(str(edge)).cast("timestamp") - F.expr("interval 10 minutes")
@@ -186,13 +187,58 @@ def test_candle_stream_equals_batch_for_closed_windows(spark, tmp_path):
     order = ["candle_start_time", "symbol"]
     assert rows(streamed, *order) == rows(closed, *order)
     assert 0 < streamed.count() < batch.count()
+    # With the open windows they are complete.
+    whole = current_candles(spark, f"{tmp_path}/silver", f"{tmp_path}/candles", as_of="2024-02-01")
+    assert rows(whole, *order) == rows(batch, *order)
 
     # Later trades close the windows that were open.
     lake.send(message(400))
     lake.bronze()
     lake.silver()
     lake.candles()
-    assert rows(lake.read("candles", schemas.CANDLES), *order) == rows(batch, *order)
+    streamed = lake.read("candles", schemas.CANDLES).select(*schemas.CANDLES.names)
+    assert rows(streamed, *order) == rows(batch, *order)
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_days_lose_nothing(spark, tmp_path, max_files):
+    """Newest trades first, one far in the future, late ones and copies in a second load."""
+    lake = Lake(spark, tmp_path)
+    day = 24 * 60
+    loads = [
+        [message(9 * day), message(day, "B"), message(4_000_000_000, "FAR")],
+        [message(0), message(day + 1, price=3.0), message(day, "B"), message(day - 1), message(day - 1)],
+    ]
+    order = ["trade_timestamp", "symbol"]
+    for load in loads:
+        for one in load:
+            lake.send(one)
+        lake.bronze()
+        silver_days(
+            spark,
+            f"{tmp_path}/bronze",
+            f"{tmp_path}/silver",
+            f"{tmp_path}/c/silver",
+            f"{tmp_path}/days",
+            as_of="2024-02-01",
+            max_files=max_files,
+        ).awaitTermination()
+        candle_days(
+            spark,
+            f"{tmp_path}/days",
+            f"{tmp_path}/silver",
+            f"{tmp_path}/candles",
+            f"{tmp_path}/c/candles",
+            as_of="2024-02-01",
+        ).awaitTermination()
+    bronze_rows = lake.read("bronze", schemas.BRONZE)
+    whole = silver(bronze_rows, as_of="2024-02-01").select(*schemas.SILVER.names)
+    found = lake.read("silver", schemas.SILVER).withColumn("trade_timestamp", F.col("trade_timestamp").cast("string"))
+    whole = whole.withColumn("trade_timestamp", F.col("trade_timestamp").cast("string"))
+    assert rows(found, *order) == rows(whole, *order)
+    assert found.count() == 6
+    built = lake.read("candles", schemas.CANDLES)
+    assert built.agg(F.sum("trade_count")).first()[0] == 6
 
 
 def test_settings_stay_in_their_session(spark):
