@@ -1,49 +1,85 @@
-"""Marts over the stored candles, then the data tests. Fails if a test finds bad rows."""
+"""Data tests over the stored candles, then the marts.
+
+Fails if a test finds bad rows, and then leaves the published marts as they were. Candles come
+from a parquet layer or a database table, sentiment from a path or a catalog table.
+"""
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from candlemill import schemas
 from candlemill.operators import health, marts, quality
 from candlemill.session import build_session
-from candlemill.sources.warehouse import write_mart
+from candlemill.sources.layers import in_days
+from candlemill.sources.staging import drop_staged, stage
+from candlemill.sources.warehouse import read_table, read_warehouse, write_mart
 
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description=__doc__)
-    args.add_argument("--candles", required=True)
-    args.add_argument("--sentiment", required=True)
+    source = args.add_mutually_exclusive_group(required=True)
+    source.add_argument("--candles", help="parquet layer")
+    source.add_argument("--jdbc-url", help="database that holds the candles")
+    args.add_argument("--jdbc-table", default="fact_market_candles")
+    args.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+    args.add_argument("--start", help="first day of candles, YYYY-MM-DD")
+    args.add_argument("--end", help="last day of candles, YYYY-MM-DD")
+    readings = args.add_mutually_exclusive_group(required=True)
+    readings.add_argument("--sentiment", help="parquet path")
+    readings.add_argument("--sentiment-table", help="catalog table")
     args.add_argument("--out", required=True, help="folder of the mart tables")
     args.add_argument("--pair", action="append", help="pair to keep in the price mart; default all")
     args.add_argument("--as-of", help="moment that freshness is measured at, default now")
     opts = args.parse_args(argv)
 
     spark = build_session("marts")
-    candles = spark.read.parquet(opts.candles).select(*schemas.CANDLES.names)
-    sentiment = spark.read.schema(schemas.SENTIMENT).parquet(opts.sentiment)
+    if opts.candles:
+        candles = spark.read.parquet(opts.candles)
+        if opts.start or opts.end:
+            candles = candles.where(in_days(opts.start, opts.end))
+    else:
+        options = dict(pair.split("=", 1) for pair in opts.jdbc_option)
+        candles = read_warehouse(spark, opts.jdbc_url, opts.jdbc_table, **options)
+        if opts.start:
+            candles = candles.where(F.col("candle_start_time") >= F.lit(opts.start).cast("timestamp"))
+        if opts.end:
+            next_day = F.date_add(F.lit(opts.end).cast("date"), 1).cast("timestamp")
+            candles = candles.where(F.col("candle_start_time") < next_day)
+    candles = candles.select(*schemas.CANDLES.names)
+    if opts.sentiment:
+        sentiment = spark.read.schema(schemas.SENTIMENT).parquet(opts.sentiment)
+    else:
+        sentiment = read_table(spark, opts.sentiment_table)
 
     def store(df, table):
         write_mart(df, table, f"{opts.out}/{table}")
-        return spark.table(table)
-
-    store(
-        marts.price_vs_sentiment(marts.daily_prices(candles, opts.pair), sentiment),
-        "mart_market_overview",
-    )
-    report = store(
-        health.ingestion_health(
-            candles, opts.as_of, stage=lambda df: store(df, "mart_hourly_ingestion")
-        ),
-        "mart_ingestion_health",
-    )
-    store(health.daily_summary(candles), "mart_daily_summary")
 
+    staged = []
+
+    def kept(df):
+        staged.append(stage(df, "marts"))
+        return staged[-1]
+
+    report = kept(health.ingestion_health(candles, opts.as_of, stage=kept))
+    hourly = staged[0]
     checks = quality.quality_report(
         candles, quality.candle_rules(), quality.CANDLE_KEYS
     ).unionByName(quality.quality_report(report, quality.completeness_rules()))
     # One row per rule.
     failed = [row for row in checks.collect() if row.failing_rows]
+    if not failed:
+        store(
+            marts.price_vs_sentiment(marts.daily_prices(candles, opts.pair), sentiment),
+            "mart_market_overview",
+        )
+        store(hourly, "mart_hourly_ingestion")
+        store(report, "mart_ingestion_health")
+        store(health.daily_summary(candles), "mart_daily_summary")
+    for df in staged:
+        drop_staged(df)
     if failed:
         raise SystemExit("\n".join(f"{r.rule}: {r.failing_rows} of {r.checked_rows}" for r in failed))
 

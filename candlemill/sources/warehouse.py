@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def jdbc_options(
@@ -68,5 +69,18 @@ def write_mart(df: DataFrame, table: str, path: str | None = None) -> None:
     writer.saveAsTable(table)
 
 
+def point_table(spark: SparkSession, table: str, schema: StructType, path: str) -> None:
+    """Make a catalog table stand for the parquet files at ``path``.
+
+    The change is one entry of the catalog: readers see the old files or the new ones, never none.
+    """
+    if spark.catalog.tableExists(table):
+        where = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{where}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path, "parquet", schema)
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)

@@ -82,6 +82,34 @@ def test_history(spark, lake):
     assert spark.read.parquet(f"{lake}/history").count() == 800
 
 
+def test_history_to_a_database(spark, lake, monkeypatch):
+    calls = []
+    monkeypatch.setattr(history, "write_warehouse", lambda df, *args, **more: calls.append((rows(df, "trade_timestamp"), df.columns, args, more)))
+    args = ["--silver", f"{lake}/silver", "--history", f"{lake}/history_db", "--jdbc-url", "jdbc:x", "--jdbc-option", "user=u"]
+    history.main([*args, "--hour", "2024-01-01T03:00:00"])
+    history.main([*args, "--all"])
+    assert [(len(found), target, more) for found, _, target, more in calls] == [
+        (24, ("jdbc:x", "history", "append"), {"user": "u"}),
+        (800, ("jdbc:x", "history", "overwrite"), {"user": "u"}),
+    ]
+    assert calls[0][1] == calls[1][1] and "trade_hour" not in calls[0][1]
+
+
+def test_sentiment_under_a_name(spark, lake):
+    table = "sentiment_now"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for day, value in ((0, 40), (1, 60)):
+        folder = lake / f"named{day}"
+        folder.mkdir()
+        item = {"value": str(value), "value_classification": "x", "timestamp": str(START // 1000 + day * 86400)}
+        (folder / "one.json").write_text(json.dumps({"data": [item]}))
+        sentiment.main(["--payloads", str(folder), "--table", table, "--next", f"{lake}/named/{day}"])
+    assert [r.fng_value for r in spark.table(table).orderBy("date").collect()] == [40, 60]
+    spark.sql(f"DROP TABLE {table}")
+    with pytest.raises(SystemExit):
+        sentiment.main(["--payloads", "x", "--table", table, "--current", "y", "--next", "z"])
+
+
 def test_sentiment(spark, lake):
     folder = lake / "payloads"
     folder.mkdir()
@@ -114,6 +142,26 @@ def test_marts_fail_on_bad_candles(spark, lake):
     args = ["--candles", f"{lake}/twice", "--sentiment", f"{lake}/sentiment/2", "--out", f"{lake}/marts_twice"]
     with pytest.raises(SystemExit, match="unique_candle_start_time_symbol: 800 of 800"):
         marts.main(args)
+    assert not (lake / "marts_twice").exists()
+
+
+def test_marts_of_some_days_and_from_a_database(spark, lake, monkeypatch):
+    asked = []
+
+    def read(session, url, table, **options):
+        asked.append((url, table, options))
+        return session.read.parquet(f"{lake}/candles")
+
+    monkeypatch.setattr(marts, "read_warehouse", read)
+    sentiment_path, day = ["--sentiment", f"{lake}/sentiment/2"], ["--start", "2024-01-02", "--end", "2024-01-02"]
+    sources = (["--candles", f"{lake}/candles"], ["--jdbc-url", "jdbc:x", "--jdbc-option", "user=u"])
+    found = []
+    for at, source in enumerate(sources):
+        marts.main([*source, *sentiment_path, *day, "--out", f"{lake}/marts_day{at}", "--as-of", "2024-01-03 00:00:00"])
+        overview = spark.read.parquet(f"{lake}/marts_day{at}/mart_market_overview")
+        found.append(rows(overview, "date", "symbol"))
+    assert asked == [("jdbc:x", "fact_market_candles", {"user": "u"})]
+    assert found[0] == found[1] and len(found[0]) == 2 and all(r[0].day == 2 for r in found[0])
 
 
 def test_normalise_needs_its_topics():
