@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from conftest import odd_rows, sentence
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -11,6 +10,8 @@ from candlemill.llm import decontaminate, extract, fertility, lm, mixing, neardu
 from candlemill.llm.labels import remainder
 from candlemill.sources.staging import new_folder
 
+from .conftest import odd_rows, sentence
+
 LABELS = "doc_id long, quality int, toxic int"
 
 

@@ -9,7 +9,12 @@ import re
 
 import numpy as np
 from pyspark.sql import functions as F
-from test_operators import (
+
+import corpus_pipeline
+from candlemill.llm import mixing, quality
+from candlemill.llm.labels import remainder
+
+from .test_operators import (
     SF_DIR,
     WORD,
     brute_components,
@@ -20,10 +25,6 @@ from test_operators import (
     shingle_set,
 )
 
-import corpus_pipeline
-from candlemill.llm import mixing, quality
-from candlemill.llm.labels import remainder
-
 
 def plain_mix(rows):
     """Texts taken, by source: whole epochs, then documents in the order of their keys."""
