@@ -362,6 +362,37 @@ def test_filter_levels(shipped_spark, frame):
     assert filled.cutoff == 2 and (got >= want).all() and (got == want).mean() > 0.9
 
 
+def test_scores_count_every_sequence(results, texts):
+    """Scores by plain counts rounded down to powers of two, sequences seen once included."""
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
+    tokens = {i: ["\1", "\1", *WORD.findall(t.translate(LOWER)), "\0"] for i, t in texts.items()}
+    seen = [collections.Counter() for _ in range(3)]
+    for i, t in tokens.items():
+        if not held[i]:
+            for k in range(2, len(t)):
+                for size in range(3):
+                    seen[size][tuple(t[k - size : k + 1])] += 1
+    words, pairs, triples = seen
+    n, v = sum(words.values()), len(words)
+    ends = words[("\0",)]
+    level = lambda c: c.bit_length()
+    floor = lambda c: 2 ** (level(c) - 1) if c else 0
+    for r in results("op9_lm_scores").itertuples():
+        t, base, rich = tokens[r.doc_id], 0.0, 0.0
+        for k in range(2, len(t)):
+            plain = (words[(t[k],)] + 0.5) / (n + 0.5 * (v + 1))
+            before = ends if k == 2 else words[(t[k - 1],)]
+            history = 0 if k == 2 else pairs[tuple(t[k - 2 : k])]
+            two = min(floor(pairs[tuple(t[k - 1 : k + 1])]) / max(before, 1), 1)
+            three = min(floor(triples[tuple(t[k - 2 : k + 1])]) / 2 ** level(history), 1) if history else 0
+            one = math.log10(plain)
+            base += one
+            rich += math.log10(lm.MIXTURE[0] * plain + lm.MIXTURE[1] * two + lm.MIXTURE[2] * three)
+        top = max(base, rich)
+        want = top + math.log10(lm.PLAIN * 10 ** (base - top) + (1 - lm.PLAIN) * 10 ** (rich - top))
+        assert r.score == pytest.approx(want)
+
+
 def test_fertility(results, texts):
     rows = results("op10_fertility").set_index("doc_id")
     for i, t in texts.items():
