@@ -144,6 +144,21 @@ def test_passages_with_an_edit(frame):
     assert spans[50] == (80, 70) and spans[51] == (10, 70) and spans[60] == (0, 72)
 
 
+def test_passages_with_words_put_in_or_left_out(frame):
+    """Repeats little longer than the least, one word put in or left out at least ten words from their ends."""
+    rng = random.Random(11)
+    fresh = lambda n: [f"q{rng.randrange(10**9)}" for _ in range(n)]
+    rows, planted = [], 200
+    for i in range(planted):
+        shared = fresh(rng.randrange(51, 61))
+        at = rng.randrange(10, len(shared) - 10)
+        edited = shared[:at] + (fresh(1) + shared[at:] if i % 2 else shared[at + 1 :])
+        rows += [(2 * i, " ".join(fresh(70) + shared + fresh(70))), (2 * i + 1, " ".join(fresh(50) + edited + fresh(90)))]
+    found = passages.repeated_passages(frame("doc_id long, text string", *rows)).collect()
+    assert all(r.doc_id // 2 == r.partner_id // 2 for r in found)
+    assert len({r.doc_id // 2 for r in found}) >= 0.97 * planted
+
+
 def test_compact_windows_hold_their_least():
     rng = np.random.default_rng(2)
     begins = np.array([0, 0, 300, 330, 500])
