@@ -159,6 +159,22 @@ def test_passages_with_words_put_in_or_left_out(frame):
     assert len({r.doc_id // 2 for r in found}) >= 0.97 * planted
 
 
+def test_passages_at_every_place_of_the_smallest_document(frame):
+    """The smallest document holds a passage twice, others once; its first place of a value is no special one."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"q{rng.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], {}
+    for i in range(40):
+        shared = fresh(rng.randrange(55, 80))
+        first = [*fresh(30), *shared, *fresh(60)]
+        rows += [(2 * i, " ".join(first + shared + fresh(30))), (2 * i + 1, " ".join(fresh(50) + shared + fresh(90)))]
+        want[2 * i], want[2 * i + 1] = {30, len(first)}, {50}
+    found = collections.defaultdict(set)
+    for r in passages.repeated_passages(frame("doc_id long, text string", *rows)).collect():
+        found[r.doc_id].add(r.first_word)
+    assert found == want
+
+
 def test_compact_windows_hold_their_least():
     rng = np.random.default_rng(2)
     begins = np.array([0, 0, 300, 330, 500])
