@@ -3,7 +3,9 @@
 A page is cut into blocks at block-level tags. The first pass calls each block good, bad or short
 from the region that it is in, its length, its link density and the density of stop words. In the
 second pass short blocks, which these say little about, take the label of the nearest decided
-neighbours.
+neighbours. Names of class, id and role are evidence beside the densities: they do not count on an
+element that holds most of a page's prose, and blocks outside the marked text are judged by their
+densities where it holds less prose than they do.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ LONG = 200
 MOST_LINKS = 0.5
 SOME_STOPS = 0.15
 MANY_STOPS = 0.30
+# Below this share on a whole page, its language is one without a list of stop words.
+NO_LIST = 0.05
 
 # Elements that hold no text, or text that is not shown.
 HIDDEN = {
@@ -45,6 +49,8 @@ INLINE = {
 # Elements beside the main text.
 ASIDE = {"nav", "footer", "aside", "form", "dialog", "menu", "fieldset"}
 MAIN = {"article", "main"}
+# Elements whose text is no prose.
+BARE = ASIDE | HIDDEN
 # Words of class, id and role that name parts beside the main text.
 ASIDE_NAMES = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb",
@@ -55,6 +61,12 @@ ASIDE_NAMES = {
     "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor",
     "sponsored", "subscribe", "subscription", "tags", "toolbar", "topbar", "widget", "widgets",
 }
+# Those of them that name parts with articles of their own.
+OWN_ARTICLES = {
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "commentlist",
+    "discussion", "disqus", "promo", "promoted", "promotion", "recommended", "related", "replies", "reply", "respond",
+    "sponsor", "sponsored",
+}
 # Words of class, id and role that name the main text.
 MAIN_NAMES = {"article", "content", "entry", "main", "post", "story", "body"}
 # Frequent words of some languages.
@@ -90,36 +102,86 @@ class Block:
     label: str = ""
 
 
-def _zone(tag: str, attributes: str, around: int) -> int:
-    """Region that an element opens; one beside the main text stays so for all within it."""
-    if around < 0:
-        return -1
-    if tag in ASIDE or (tag == "header" and around == 0):
-        return -1
+# Regions while a page is read, beside those of a block: beside the main text by name only, where an
+# article may be the main text after all; and within such an article.
+NAMED, REOPENED = -2, 2
+
+
+def _zone(tag: str, attributes: str, around: int, ignored: bool) -> tuple[int, bool, bool]:
+    """Region that an element opens, whether its names alone put it beside the main text, and whether
+    these are of OWN_ARTICLES.
+
+    One beside the main text stays so for all within it, but for articles in one that is so by name.
+    """
+    if around == -1 or tag in ASIDE or (tag == "header" and around == 0):
+        return -1, False, False
     names: set[str] = set()
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             key = m[1].lower()
             if key == "hidden" or (key == "aria-hidden" and m[2] and "true" in m[2]):
-                return -1
+                return -1, False, False
             if key == "style" and m[2] and "display:none" in m[2].replace(" ", "").lower():
-                return -1
+                return -1, False, False
             if key in ("class", "id", "role") and m[2]:
                 names |= set(_PART.findall(_CAMEL.sub("-", m[2].strip("\"'")).lower()))
-    if tag in MAIN:
+    if tag in ("html", "body"):
+        return around, False, False
+    own = bool(names & OWN_ARTICLES)
+    beside = bool(names & ASIDE_NAMES) and not ignored
+    if tag in MAIN and not (beside and not names & MAIN_NAMES):
         # Readers' comments may be articles within an article.
-        return -1 if names & ASIDE_NAMES and not names & MAIN_NAMES else 1
-    if names & ASIDE_NAMES and tag not in ("html", "body"):
-        return -1
-    return 1 if names & MAIN_NAMES and tag not in ("html", "body") else around
+        if around == NAMED:
+            return (NAMED, True, own) if beside else (1 if tag == "main" else REOPENED, False, False)
+        return max(around, 1), False, False
+    if beside:
+        return (-1 if around > 0 or own else NAMED), True, own
+    return (max(around, 1) if names & MAIN_NAMES and around >= 0 else around), False, False
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order, those without text left out."""
+    found, named, prose = _blocks(page, frozenset())
+    # No part beside the main text holds most of the prose: there the names mean something else.
+    most = [(at, own) for at, (size, own) in named.items() if 2 * size > prose]
+    wrong = frozenset(at for at, own in most if not own)
+    if wrong:
+        found = _blocks(page, wrong)[0]
+    # Comments and the like may be longer than the text, but there is some text then.
+    if len(wrong) < len(most) and not any(b.zone != -1 and not b.heading and _links(b) <= MOST_LINKS for b in found):
+        found = _blocks(page, frozenset(at for at, _ in most))[0]
+    marked = any(b.zone == 1 and len(b.text) >= SHORT for b in found)
+    for b in found:
+        if b.zone == REOPENED:
+            b.zone = -1 if marked else 1
+        elif b.zone == NAMED:
+            b.zone = -1
+    return found
+
+
+def _blocks(page: str, ignored: frozenset[int]) -> tuple[list[Block], dict[int, tuple[int, bool]], int]:
+    """Blocks; by place the prose of elements beside the main text by name, and whether their names
+    are of OWN_ARTICLES; and all prose.
+
+    Prose are characters outside of links and of elements that hold none. Names of the elements at
+    the places ``ignored`` do not count.
+    """
     out: list[Block] = []
     current = Block()
-    stack: list[tuple[str, int]] = []
-    zone, links, breaks = 0, 0, 0
+    # Tag, region around it, and for elements counted in ``named`` their place.
+    stack: list[tuple[str, int, int | None]] = []
+    named: dict[int, tuple[int, bool]] = {}
+    zone, links, breaks, prose, bare = 0, 0, 0, 0, 0
+
+    def leave(depth: int) -> None:
+        nonlocal zone, bare
+        zone = stack[depth][1]
+        for tag, _, place in stack[depth:]:
+            if place is not None:
+                before, own = named[place]
+                named[place] = prose - before, own
+            bare -= tag in BARE
+        del stack[depth:]
 
     def close() -> None:
         nonlocal current
@@ -127,12 +189,15 @@ def blocks(page: str) -> list[Block]:
         current = Block(zone=zone, heading=bool(stack) and stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6"))
 
     def add(raw: str) -> None:
-        nonlocal breaks
+        nonlocal breaks, prose
         text = html.unescape(raw)
         if text and not text.isspace():
             breaks = 0
+            size = len("".join(text.split()))
             if links:
-                current.link_chars += len("".join(text.split()))
+                current.link_chars += size
+            elif not bare:
+                prose += size
         current.parts.append(text)
 
     at = 0
@@ -184,20 +249,25 @@ def blocks(page: str) -> list[Block]:
             # An end tag closes what was left open within its element; a stray one closes nothing.
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None:
-                zone = stack[depth][1]
-                del stack[depth:]
+                leave(depth)
         else:
             if tag == "p" or tag == "li":
                 # A paragraph or item ends at the next one.
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        zone = stack[i][1]
-                        del stack[i:]
+                        leave(i)
                         break
                     if stack[i][0] not in INLINE and stack[i][0] != "p":
                         break
-            stack.append((tag, zone))
-            zone = -1 if tag in HIDDEN and tag != "head" else _zone(tag, attributes, zone)
+            around, by_name, own = zone, False, False
+            if tag in HIDDEN and tag != "head":
+                zone = -1
+            else:
+                zone, by_name, own = _zone(tag, attributes, zone, at in ignored)
+            stack.append((tag, around, at if by_name else None))
+            bare += tag in BARE
+            if by_name:
+                named[at] = prose, own
         if tag not in INLINE:
             links = 0
             close()
@@ -209,38 +279,74 @@ def blocks(page: str) -> list[Block]:
             else:
                 current.zone = zone
     out.append(current)
+    if stack:
+        leave(0)
     kept = []
     for block in out:
         block.text = " ".join("".join(block.parts).split())
         if block.text:
             kept.append(block)
-    return kept
+    return kept, named, prose
+
+
+def _links(block: Block) -> float:
+    return block.link_chars / max(1, len(block.text.replace(" ", "")))
+
+
+def _stops(text: str) -> tuple[int, int]:
+    """Stop words and words."""
+    tokens = _WORD.findall(text.lower())
+    return sum(t in STOP_WORDS for t in tokens), len(tokens)
 
 
-def _first_pass(block: Block) -> str:
+def _size(text: str) -> int:
+    """Characters, those of scripts that write a word in one or two as three."""
+    return len(text) if text.isascii() else len(text) + 2 * sum(c >= "\u2e80" for c in text)
+
+
+def _first_pass(block: Block, listed: bool) -> str:
     size = len(block.text)
-    chars = max(1, len(block.text.replace(" ", "")))
-    if block.zone < 0 or block.link_chars / chars > MOST_LINKS:
+    if block.zone < 0 or _links(block) > MOST_LINKS:
         return "bad"
     if block.zone > 0:
         return "good" if size >= SHORT and not block.heading else "short"
+    if not listed:
+        size = _size(block.text)
     if size < SHORT or block.heading:
         return "short" if not block.link_chars else "bad"
-    tokens = _WORD.findall(block.text.lower())
-    stops = sum(t in STOP_WORDS for t in tokens) / max(1, len(tokens))
+    if not listed:
+        return "good" if size >= LONG else "short"
+    count, words = _stops(block.text)
+    stops = count / max(1, words)
     if stops >= MANY_STOPS or (stops >= SOME_STOPS and size >= LONG):
         return "good"
     return "short" if stops >= SOME_STOPS else "bad"
 
 
+def _listed(found: list[Block]) -> bool:
+    """Whether a page's language is one with a list of stop words."""
+    stops = words = 0
+    for b in found:
+        if b.zone >= 0 and _size(b.text) >= SHORT and _links(b) <= MOST_LINKS:
+            count, size = _stops(b.text)
+            stops, words = stops + count, words + size
+    return stops >= NO_LIST * words
+
+
 def label(found: list[Block]) -> list[Block]:
     """Blocks with their labels, good or bad."""
-    marked = any(b.zone > 0 for b in found)
+    listed = not any(b.zone == 0 for b in found) or _listed(found)
+    prose = [0, 0]
     for b in found:
-        b.label = _first_pass(b)
-        if marked and b.zone == 0:
-            # Where the page marks its main text, the rest is beside it.
-            b.label = "bad"
+        b.label = _first_pass(b, listed)
+        if b.label == "good":
+            prose[b.zone > 0] += len(b.text)
+    marked = any(b.zone > 0 for b in found) and prose[1] >= prose[0]
+    if marked:
+        # Where the page marks its main text, the rest is beside it.
+        for b in found:
+            if b.zone == 0:
+                b.label = "bad"
     # Within the marked text only decided blocks of that text are neighbours.
     pool = [i for i, b in enumerate(found) if b.label != "short" and (not marked or b.zone > 0)]
     labels = {}

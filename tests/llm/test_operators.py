@@ -276,6 +276,32 @@ def test_extraction():
         extract.main_text(broken)
 
 
+def test_extraction_marks_are_evidence():
+    p = "The cat sat on the mat and it was the best of all the days that they had in the house. "
+    one, long = p.strip(), (p * 3).strip()
+    # A marked heading does not make the prose beside it bad.
+    assert extract.main_text(f"<div><h1 class='entry-title'>T</h1><p>{long}</p><p>{long}</p></div>") == (
+        f"T\n{long}\n{long}"
+    )
+    # Names of a layout around the text say nothing of the text.
+    for inner in (f"<article><p>{one}</p></article>", f"<main><p>{one}</p></main>", f"<p>{long}</p>"):
+        text = long if inner.startswith("<p>") else one
+        assert extract.main_text(f"<div class='layout has-sidebar'>{inner}</div>") == text
+    # Not even where other parts hold more prose.
+    around = f"<div class='has-sidebar'><article><p>{one}</p></article></div><div id=comments><p>{p * 9}</p></div>"
+    assert extract.main_text(f"<body>{around}</body>") == one
+    # Comments and teasers beside a marked text stay out.
+    teaser = f"<div class=sidebar><article><p>{one}</p></article></div>"
+    reply = f"<div id=comments><article><p>{one}</p></article></div>"
+    assert extract.main_text(f"<body>{teaser}<article><p>{long}</p>{reply}</article>{reply}</body>") == long
+    # A language without a list is judged by length and links.
+    thai = "แมวนั่งอยู่บนเสื่อและเป็นวันที่ดีที่สุดของบ้าน " * 6
+    chinese = "猫坐在垫子上，这是他们在家里度过的最好的一天。" * 5
+    for text in (thai.strip(), chinese):
+        page = f"<div><div><a href=1>Home</a> <a href=2>News</a></div><p>{text}</p><p>{text}</p></div>"
+        assert extract.main_text(page) == f"{text}\n{text}"
+
+
 def test_pages(results):
     rows = results("op6_extraction")
     assert (rows.n_chars == rows.text.str.len()).all() and (rows.n_chars > 0).mean() > 0.95
