@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from oracle_check import compare, connect
 
@@ -30,3 +35,14 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     assert entry(spark).columns[:2] == ["candle_start_time", "symbol"]
+
+
+@pytest.mark.parametrize("gone", [("llm",), ("llm", "corpus_pipeline.py")])
+def test_entry_file_without_the_corpus_operators(tmp_path, gone):
+    """The entry file imports where the subpackage is deleted, with or without the pipeline."""
+    root = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "repo"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(*gone, ".git", "__pycache__", "*.json"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    said = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(ORACLE)), "False"], said.stderr
