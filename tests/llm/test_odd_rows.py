@@ -104,7 +104,7 @@ def test_near_duplicates(odd_docs, no_docs):
             (6, 19_996, 6, True),
             (7, 1, 7, True),
             (8, 1, 7, False),
-            (9, 1, 9, True),
+            (9, 2, 9, True),  # six words
             (10, 1, 10, True),
         ],
         key=str,
