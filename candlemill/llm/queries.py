@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from candlemill.llm import (
     mixing,
     neardup,
     passages,
+    periodic,
     quality,
     token_files,
     toxicity,
@@ -106,6 +108,22 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of the contract: those of one document in ten repeat from some place on."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n = len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + (i - start) % period] for i in range(start, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(_table(spark, sf_dir, "documents"), with_repeated_tail))
+
+
 LLM_QUERIES: dict[str, Query] = {
     name: shipped(query) for name, query in list(globals().items()) if name.startswith("op") and callable(query)
 }
