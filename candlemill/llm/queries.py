@@ -15,6 +15,7 @@ from candlemill.llm import (
     lm,
     mixing,
     neardup,
+    negatives,
     passages,
     periodic,
     quality,
@@ -108,6 +109,11 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 def with_repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words of the contract: those of one document in ten repeat from some place on."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -170,4 +176,30 @@ SELECT doc_id, size, source_size, target,
 FROM ordered
 """
 
-LLM_ORACLE: dict[str, str] = {"op5_mixing": _MIX_SQL}
+_NEGATIVES_SQL = """
+WITH points AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM points a JOIN points b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS place
+        FROM pairs WHERE same)
+  WHERE place <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
+LLM_ORACLE: dict[str, str] = {"op5_mixing": _MIX_SQL, "op11_hard_negatives": _NEGATIVES_SQL}
