@@ -19,6 +19,7 @@ from candlemill.llm import (
     passages,
     periodic,
     quality,
+    substrings,
     token_files,
     toxicity,
 )
@@ -114,6 +115,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
 
 
+def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeated(_table(spark, sf_dir, "documents")))
+
+
 def with_repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words of the contract: those of one document in ten repeat from some place on."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
