@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from candlemill.llm.memory import at_end, lean
+
 PIECE_BYTES = 1_000_000
 SHINGLE = 5
 
@@ -56,6 +58,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+@at_end
+def forget_tables() -> None:
+    """Drop the tables of powers, which are as long as the longest piece so far."""
+    global _powers
+    _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
 @dataclass
 class Words:
     """Words of a piece: byte range and hash of each, and the first word of each document."""
@@ -251,7 +260,7 @@ def add_columns(
                     [*part.columns, *compute(texts)], names=[*part.schema.names, *names]
                 )
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *StructType.fromDDL(fields).fields]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, *StructType.fromDDL(fields).fields]))
 
 
 def set_similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
