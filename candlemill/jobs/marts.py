@@ -1,6 +1,7 @@
 """Data tests over the stored candles, then the marts.
 
-Fails if a test finds bad rows, and then leaves the published marts as they were. Candles come
+Fails if a test finds bad rows, and then leaves the published marts as they were. With ``--version``
+all marts are written first and published together; without, they are replaced one by one. Candles come
 from a parquet layer or a database table, sentiment from a path or a catalog table.
 """
 
@@ -15,6 +16,7 @@ from candlemill.operators import health, marts, quality
 from candlemill.session import build_session
 from candlemill.sources.layers import in_days
 from candlemill.sources.staging import drop_staged, stage
+from candlemill.sources.swaps import point_marts, publish_marts
 from candlemill.sources.warehouse import read_table, read_warehouse, write_mart
 
 
@@ -32,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     readings.add_argument("--sentiment-table", help="catalog table")
     args.add_argument("--out", required=True, help="folder of the mart tables")
     args.add_argument("--pair", action="append", help="pair to keep in the price mart; default all")
+    args.add_argument("--version", type=int, help="publish all marts at once, as this version below --out")
     args.add_argument("--as-of", help="moment that freshness is measured at, default now")
     opts = args.parse_args(argv)
 
@@ -54,9 +57,6 @@ def main(argv: list[str] | None = None) -> None:
     else:
         sentiment = read_table(spark, opts.sentiment_table)
 
-    def store(df, table):
-        write_mart(df, table, f"{opts.out}/{table}")
-
     staged = []
 
     def kept(df):
@@ -71,13 +71,18 @@ def main(argv: list[str] | None = None) -> None:
     # One row per rule.
     failed = [row for row in checks.collect() if row.failing_rows]
     if not failed:
-        store(
-            marts.price_vs_sentiment(marts.daily_prices(candles, opts.pair), sentiment),
-            "mart_market_overview",
-        )
-        store(hourly, "mart_hourly_ingestion")
-        store(report, "mart_ingestion_health")
-        store(health.daily_summary(candles), "mart_daily_summary")
+        built = {
+            "mart_market_overview": marts.price_vs_sentiment(marts.daily_prices(candles, opts.pair), sentiment),
+            "mart_hourly_ingestion": hourly,
+            "mart_ingestion_health": report,
+            "mart_daily_summary": health.daily_summary(candles),
+        }
+        if opts.version is not None:
+            publish_marts(built, opts.out, opts.version)
+            point_marts(spark, opts.out, *built)
+        else:
+            for table, mart in built.items():
+                write_mart(mart, table, f"{opts.out}/{table}")
     for df in staged:
         drop_staged(df)
     if failed:

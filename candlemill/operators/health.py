@@ -100,6 +100,21 @@ def ingestion_health(
     hourly = hourly_ingestion(candles, per_hour)
     if stage is not None:
         hourly = stage(hourly)
+    return health_from_hours(hourly, as_of, per_day, fresh, stale)
+
+
+def health_from_hours(
+    hourly: DataFrame,
+    as_of: AsOf = None,
+    per_day: int = DEFAULTS.candles_per_day,
+    fresh: float = DEFAULTS.fresh_minutes,
+    stale: float = DEFAULTS.stale_minutes,
+) -> DataFrame:
+    """The report from rows of :func:`hourly_ingestion`, just made or kept by day.
+
+    Kept ones are maintained by :func:`candlemill.streaming.rebuild.hour_days`: an hour belongs to
+    one day, so the days that changed are made anew and no others.
+    """
     latest = _freshness(hourly, "latest_candle", "last_ingested_at", as_of, fresh, stale)
     days = (
         hourly.groupBy(F.date_trunc("day", "ingestion_hour").alias("_day"), "symbol")

@@ -192,6 +192,17 @@ DIRTY_CANDLES = f"""
   FROM candles
 )"""
 
+_BY_DAY = "count(*) AS trades, sum(quantity) AS volume, max(price) AS top_price"
+_LATE = f"""
+WITH silver AS ({SILVER}), first_run AS (
+  SELECT * FROM silver WHERE quantity % 3 <> 0 AND (trade_timestamp < TIMESTAMP '2024-01-16' OR symbol = 'view')
+), marks AS (SELECT symbol, max(trade_timestamp) AS mark FROM first_run GROUP BY symbol)
+SELECT s.* EXCLUDE (mark), CASE WHEN late THEN mark END AS mark
+FROM (SELECT s.*, m.mark,
+             NOT (quantity % 3 <> 0 AND (trade_timestamp < TIMESTAMP '2024-01-16' OR s.symbol = 'view'))
+               AND coalesce(trade_timestamp < mark - INTERVAL 10 MINUTE, false) AS late
+      FROM silver s LEFT JOIN marks m ON s.symbol = m.symbol) s"""
+
 ORACLE: dict[str, str] = {
     "envelope_normalise": ENVELOPES
     + """
@@ -367,4 +378,30 @@ WITH {RECORDS}, timed AS (
 ) {_candles('1 hour', 'timed', 'price')}""",
     "silver_days": SILVER,
     "gold_increment": f"{CLEAN} {_candles('1 hour', 'clean', 'price')}",
+    "silver_swap": f"""
+WITH silver AS ({SILVER}), dated AS (SELECT *, CAST(trade_timestamp AS DATE) AS date FROM silver)
+SELECT 'written' AS phase, date, {_BY_DAY} FROM dated GROUP BY ALL
+UNION ALL
+SELECT 'swapped' AS phase, date, {_BY_DAY} FROM dated
+WHERE date NOT BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' OR (date <> DATE '2024-01-09' AND price < 100)
+GROUP BY ALL""",
+    "marts_published": f"""
+{CANDLES}, chosen AS (SELECT * FROM candles WHERE symbol IN ('click', 'error', 'purchase', 'view'))
+SELECT symbol, sum(total_volume) AS total_volume, CAST(NULL AS INTEGER) AS hour_of_day,
+       CAST(NULL AS BIGINT) AS trade_count
+FROM chosen GROUP BY symbol
+UNION ALL
+SELECT symbol, NULL AS total_volume, CAST(hour(candle_start_time) AS INTEGER) AS hour_of_day,
+       CAST(sum(trade_count) AS BIGINT) AS trade_count
+FROM chosen GROUP BY ALL""",
+    "candles_late": f"{CANDLES} SELECT * FROM candles",
+    "candles_rolled_1h": f"WITH {TRADES} {_candles('1 hour')}",
+    "candles_rolled_1d": f"WITH {TRADES} {_candles('1 day')}",
+    "silver_by_symbol": _LATE,
+    "active_symbols": " UNION ALL ".join(
+        f"SELECT '{unit}' AS unit, date_trunc('{unit}', ts)::TIMESTAMP AS start, "
+        "count(DISTINCT event_type) AS active_symbols FROM events GROUP BY ALL"
+        for unit in ("day", "week", "month")
+    ),
 }
+ORACLE["health_maintained"] = ORACLE["ingestion_health"]

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from candlemill import schemas
 from candlemill.config import Settings
-from candlemill.operators import decode, health, history, marts, quality, refine
+from candlemill.operators import active, decode, health, history, marts, partials, quality, refine
 from candlemill.operators.candles import candles, silver_order
 from candlemill.operators.upsert import latest_per_key, upsert
 from candlemill.plans import views
 from candlemill.session import streaming_session
-from candlemill.sources import layers, staging, warehouse
+from candlemill.sources import layers, staging, swaps, warehouse
+from candlemill.streaming import marks as symbol_marks
 from candlemill.streaming import rebuild, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -343,6 +344,142 @@ def stream_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.naive(runs.current_candles(spark, layer, built, settings, as_of=views.BUILT_AT))
 
 
+# -- kept and merged --------------------------------------------------------------------------
+
+
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+def silver_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver by day in a catalog table, loaded twice and read between the second write and its swap.
+
+    The second load has days 5 to 20 with a lower price cap; nothing of day 9 is usable any more.
+    """
+    work = staging.new_folder(spark, "swap")
+    table = _table_name(work)
+    raw = views.records(spark, sf_dir)
+    swaps.create_day_table(spark, table, schemas.SILVER, f"{work}/none")
+
+    def load(records: DataFrame, settings: Settings) -> str:
+        return swaps.write_days(refine.silver(records, settings, views.BUILT_AT).select(*schemas.SILVER.names), work)
+
+    def daily(phase: str) -> DataFrame:
+        return (
+            spark.table(table)
+            .groupBy(F.make_date("year", "month", "day").alias("date"))
+            .agg(F.count("*").alias("trades"), F.sum("quantity").alias("volume"), F.max("price").alias("top_price"))
+            .withColumn("phase", F.lit(phase))
+        )
+
+    day = F.to_date(F.timestamp_millis("trade_time"))
+    days = refine.add_partitions(refine.add_event_time(raw), "timestamp").select(*layers.DAY).distinct()
+    swaps.swap_days(spark, table, load(raw, Settings()), days)
+    some = raw.where(day.between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date")))
+    broken = F.when(day == F.lit("2024-01-09").cast("date"), -F.col("quantity")).otherwise(F.col("quantity"))
+    folder = load(some.withColumn("quantity", broken), Settings(price_cap=100.0))
+    between = staging.stage(daily("written"))
+    swaps.swap_days(spark, table, folder, days.where("month = 1 AND day BETWEEN 5 AND 20"))
+    return between.unionByName(daily("swapped"))
+
+
+def marts_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two marts published twice, a third version written in part only: both are read as of the second."""
+    path = staging.new_folder(spark, "marts")
+    built = staging.stage(views.trade_candles(spark, sf_dir, "1 hour"))
+    for version, symbols in ((1, ["view"]), (2, ["click", "error", "purchase", "view"])):
+        some = built.where(F.col("symbol").isin(symbols))
+        both = {"volume": marts.volume_by_symbol(some), "heatmap": marts.activity_heatmap(some)}
+        swaps.publish_marts(both, path, version)
+    both["volume"].where("false").write.parquet(f"{path}/volume/version=3")
+    volume, heatmap = swaps.read_marts(spark, path, "volume", "heatmap")
+    return volume.unionByName(heatmap, allowMissingColumns=True)
+
+
+def _late_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute partials kept by day; late trades merged into those of their minutes alone."""
+    path = staging.new_folder(spark, "partials")
+    trades = views.trades(spark, sf_dir)
+    for late in (False, True):
+        new = partials.partial_candles(trades.where((F.col("quantity") % 3 == 0) == late))
+        new = refine.add_partitions(new, "candle_start_time")
+        if late:
+            kept = spark.read.schema(new.schema).parquet(path)
+            merged = partials.merge_candles(layers.of_days(kept, new).unionByName(new))
+            new = staging.stage(refine.add_partitions(merged, "candle_start_time"))
+        layers.write_layer(new, path, layers.DAY, replace_partitions=True)
+    return spark.read.schema(new.schema).parquet(path)
+
+
+def candles_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = _late_partials(spark, sf_dir).select(*partials.COLUMNS)
+    return views.naive(partials.finish_candles(kept, views.BUILT_AT))
+
+
+def _rollup_query(*widths: str) -> Query:
+    """Candles of the last width, merged from those of each width before it and from minutes."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        kept = _late_partials(spark, sf_dir)
+        for width in widths:
+            kept = partials.merge_candles(kept, width)
+        return views.naive(partials.finish_candles(kept, views.BUILT_AT))
+
+    return run
+
+
+def silver_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and late trades of two runs on one checkpoint, with a symbol far ahead in the first.
+
+    The first run has half of the month, but all of ``view``; a third of the trades come with the
+    second, most of them late.
+    """
+    work = staging.new_folder(spark, "by_symbol")
+    raw = views.records(spark, sf_dir)
+    early = F.timestamp_millis("trade_time") < F.lit("2024-01-16").cast("timestamp")
+    first = (F.col("quantity") % 3 != 0) & (early | (F.col("symbol") == "view"))
+    session = streaming_session(spark)
+    for load in (raw.where(first), raw.where(~first)):
+        layers.write_layer(refine.bronze(decode.decode_records(decode.to_messages(load))), f"{work}/bronze", schemas.BRONZE_PARTITIONS)
+        stream = layers.stream_layer(session, f"{work}/bronze", schemas.BRONZE)
+        symbol_marks.run_silver_by_symbol(
+            spark, stream, f"{work}/out", f"{work}/checkpoint", as_of=views.BUILT_AT
+        ).awaitTermination()
+    on_time = symbol_marks.read_by_symbol(spark, f"{work}/out").withColumn("late", F.lit(False))
+    late = symbol_marks.read_late(spark, f"{work}/out").drop("batch").withColumn("late", F.lit(True))
+    return views.naive(on_time.unionByName(late, allowMissingColumns=True))
+
+
+def health_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The health report from hourly rows kept by day, after a second load that touches one day."""
+    work = staging.new_folder(spark, "health")
+    trades = views.trades(spark, sf_dir)
+    day = F.to_date("trade_timestamp")
+    late = (F.col("quantity") % 3 == 0) & (day == F.lit("2024-01-10").cast("date"))
+    session = streaming_session(spark)
+    for number, load in enumerate((trades.where(~late), trades.where(day == F.lit("2024-01-10").cast("date")))):
+        built = candles(load, "1 minute", tie="trade_id", as_of=views.BUILT_AT)
+        by_day = staging.stage(refine.add_partitions(built, "candle_start_time"))
+        layers.write_layer(by_day, f"{work}/candles", layers.DAY, replace_partitions=True)
+        by_day.select(*layers.DAY).distinct().coalesce(1).write.parquet(f"{work}/days/run={number}")
+        rebuild.hour_days(
+            spark, f"{work}/days", f"{work}/candles", f"{work}/hours", f"{work}/checkpoint", stream=session
+        ).awaitTermination()
+    hourly = spark.read.parquet(f"{work}/hours").drop(*layers.DAY)
+    report = health.newest_hours_first(health.health_from_hours(hourly, views.AS_OF))
+    return views.naive(_rounded(report, minutes_since_last_candle=9))
+
+
+def active_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact numbers of symbols by day, week and month, from bitmaps kept by hour."""
+    built = views.trade_candles(spark, sf_dir, "5 minutes")
+    known = active.number_symbols(built.where("minute(candle_start_time) < 30"))
+    known = staging.stage(active.number_symbols(built, known), "symbols")
+    hours = staging.stage(active.hourly_symbols(built, known), "bitmaps")
+    counts = [active.count_symbols(hours, unit).withColumn("unit", F.lit(unit)) for unit in ("day", "week", "month")]
+    return views.naive(counts[0].unionByName(counts[1]).unionByName(counts[2]))
+
+
 QUERIES: dict[str, Query] = {
     "envelope_normalise": envelope_normalise,
     "envelope_rejects": envelope_rejects,
@@ -378,4 +515,12 @@ QUERIES: dict[str, Query] = {
     "stream_candles": stream_candles,
     "silver_days": silver_days,
     "gold_increment": gold_increment,
+    "silver_swap": silver_swap,
+    "marts_published": marts_published,
+    "candles_late": candles_late,
+    "candles_rolled_1h": _rollup_query("1 hour"),
+    "candles_rolled_1d": _rollup_query("15 minutes", "1 hour", "1 day"),
+    "silver_by_symbol": silver_by_symbol,
+    "health_maintained": health_maintained,
+    "active_symbols": active_symbols,
 }

@@ -11,17 +11,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from candlemill import schemas
 from candlemill.config import DEFAULTS, Settings
 from candlemill.functions.times import AsOf
 from candlemill.operators.candles import candles, silver_order
+from candlemill.operators.health import hourly_ingestion
 from candlemill.operators.refine import add_partitions, silver
 from candlemill.sources.layers import DAY, of_days, read_layer, stream_layer, write_layer
 from candlemill.sources.staging import drop_staged, new_folder
 from candlemill.streaming.drain import start_drain
 
+_DATED_CANDLES = T.StructType([*schemas.CANDLES.fields, *schemas.DAYS.fields])
+
 
 def rebuild_days(
     spark: SparkSession,
@@ -78,8 +82,12 @@ def candle_days(
     checkpoint: str,
     settings: Settings = DEFAULTS,
     as_of: AsOf = None,
+    done: str | None = None,
 ) -> StreamingQuery:
-    """Candles of the days in the record of :func:`silver_days`. The width has to divide a day."""
+    """Candles of the days in the record of :func:`silver_days`. The width has to divide a day.
+
+    The days are recorded in ``done`` in turn, if given.
+    """
 
     def build(days: DataFrame) -> None:
         trades = of_days(read_layer(spark, silver_path, schemas.SILVER), days)
@@ -88,4 +96,27 @@ def candle_days(
         write_layer(by_day, path, schemas.SILVER_PARTITIONS, replace_partitions=True)
 
     changes = stream_layer(spark, f"{record}/*", schemas.DAYS)
-    return rebuild_days(spark, changes, build, checkpoint, name="candle_days")
+    return rebuild_days(spark, changes, build, checkpoint, done, "candle_days")
+
+
+def hour_days(
+    spark: SparkSession,
+    record: str,
+    candle_path: str,
+    path: str,
+    checkpoint: str,
+    per_hour: int = DEFAULTS.candles_per_hour,
+    stream: SparkSession | None = None,
+) -> StreamingQuery:
+    """Hourly health rows, kept by day, of the days in the record of :func:`candle_days`.
+
+    Only the candles of those days are read. ``stream`` is the session of the stream, if another.
+    """
+
+    def build(days: DataFrame) -> None:
+        candles_ = of_days(read_layer(spark, candle_path, _DATED_CANDLES), days)
+        by_day = add_partitions(hourly_ingestion(candles_, per_hour), "ingestion_hour")
+        write_layer(by_day, path, schemas.SILVER_PARTITIONS, replace_partitions=True)
+
+    changes = stream_layer(stream or spark, f"{record}/*", schemas.DAYS)
+    return rebuild_days(spark, changes, build, checkpoint, name="hour_days")

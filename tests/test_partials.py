@@ -1,0 +1,79 @@
+"""Candles from merged partials equal those of all trades."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from candlemill.operators import active
+from candlemill.operators.candles import candles
+from candlemill.operators.partials import COLUMNS, finish_candles, merge_candles, partial_candles, starts_fit
+
+BUILT = "2024-02-01 00:00:00"
+SCHEMA = "symbol string, price double, quantity double, is_buyer_maker boolean, trade_timestamp timestamp, trade_id bigint"
+
+
+@pytest.fixture
+def trades(frame):
+    """Ties in time, trades without price, quantity, flag, time or number, and negative numbers."""
+    rng = random.Random(3)
+    listed = []
+    for k in range(400):
+        when = f"2024-01-0{rng.randrange(1, 4)} 23:{rng.randrange(58, 60)}:{rng.choice(['00', '30', '59.999'])}"
+        listed.append(
+            (
+                rng.choice(["a", "b"]),
+                rng.choice([None, 1.5, 2.25, 3]),
+                rng.choice([None, 1, 2]),
+                rng.choice([None, True, False]),
+                rng.choice([None, when, when, when]),
+                k - 200 if k else None,
+            )
+        )
+    return frame(SCHEMA, *listed)
+
+
+@pytest.mark.parametrize("width", ["1 minute", "1 hour", "1 day"])
+def test_merged_equal_direct(trades, width):
+    parts = [partial_candles(trades.where(F.pmod(F.hash("trade_id", "price"), F.lit(3)) == k)) for k in range(3)]
+    left = merge_candles(parts[0].unionByName(parts[1]))
+    merged = merge_candles(left.unionByName(parts[2]))
+    other = merge_candles(merge_candles(parts[2].unionByName(parts[0])).unionByName(parts[1]))
+    order = ("candle_start_time", "symbol")
+    assert rows(merged, *order) == rows(other, *order)
+    got = finish_candles(merge_candles(merged, width), BUILT)
+    want = candles(trades.where("trade_timestamp IS NOT NULL"), width, tie="trade_id", as_of=BUILT)
+    assert rows(got.select(*want.columns), *order) == rows(want, *order)
+
+
+def test_partials_keep_their_columns(trades):
+    assert partial_candles(trades).columns == merge_candles(partial_candles(trades), "1 hour").columns == COLUMNS
+    assert merge_candles(partial_candles(trades.where("false"))).count() == 0
+
+
+def test_starts_fit():
+    assert starts_fit("1 minute", "1 hour") and starts_fit("15 minutes", "1 day")
+    assert not starts_fit("7 minutes", "1 hour") and not starts_fit("1 month", "1 day")
+
+
+def test_active_symbols(frame):
+    times = [("a", "2024-01-01 00:10:00"), ("b", "2024-01-01 05:00:00"), ("a", "2024-01-07 00:00:00"), ("c", "2024-01-08 00:00:00"), (None, "2024-01-08 00:00:00")]
+    rows_ = frame("symbol string, candle_start_time timestamp", *times)
+    known = active.number_symbols(rows_.where("symbol = 'b'"))
+    known = active.number_symbols(rows_, known)
+    assert rows(known, "number") == [("b", 1), ("a", 2), ("c", 3)]
+    assert rows(active.number_symbols(rows_, known), "number") == rows(known, "number")
+    hours = active.hourly_symbols(rows_, known)
+    assert [r.active_symbols for r in active.count_symbols(hours, "day").orderBy("start").collect()] == [2, 1, 1]
+    assert [r.active_symbols for r in active.count_symbols(hours, "week").orderBy("start").collect()] == [2, 1]
+    assert [r.active_symbols for r in active.count_symbols(hours, "month").collect()] == [3]
+
+
+def test_symbols_beyond_one_bitmap(spark):
+    many = spark.range(1, 40_001).select(F.col("id").cast("string").alias("symbol"), F.lit("2024-01-01").cast("timestamp").alias("candle_start_time"))
+    known = many.select("symbol", F.col("symbol").cast("bigint").alias("number"))
+    hours = active.hourly_symbols(many, known)
+    assert hours.count() == 2 and active.count_symbols(hours).first().active_symbols == 40_000
