@@ -3,15 +3,17 @@
 A page is cut into blocks at block-level tags. The first pass calls each block good, bad or short
 from the region that it is in, its length, its link density and the density of stop words. In the
 second pass short blocks, which these say little about, take the label of the nearest decided
-neighbours. Names of class, id and role are evidence beside the densities: they do not count on an
-element that holds most of a page's prose, and blocks outside the marked text are judged by their
-densities where it holds less prose than they do.
+neighbours. Names of class, id and role are evidence beside the densities: an element that they put
+beside the text is so however long it is, unless nothing else on the page is prose; marks of the
+main text lower the limits within, and blocks outside of it are judged by their densities where it
+holds less prose than they do.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -26,6 +28,8 @@ LONG = 200
 MOST_LINKS = 0.5
 SOME_STOPS = 0.15
 MANY_STOPS = 0.30
+# Within the marked text.
+MARKED_STOPS = 0.05
 # Below this share on a whole page, its language is one without a list of stop words.
 NO_LIST = 0.05
 
@@ -83,6 +87,9 @@ STOP_WORDS = set(
     wir wird zu zum zur über für""".split()
 )
 
+# Words before a name that say what a layout has, not what the element is.
+LAYOUT = {"has", "with", "without", "no", "is", "layout", "show", "hide"}
+
 _MARKUP = re.compile(r"<!--|<!|<\?|</?[A-Za-z]")
 _NAME = re.compile(r"[^\s/>]+")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
@@ -100,6 +107,7 @@ class Block:
     heading: bool = False
     text: str = ""
     label: str = ""
+    counted: tuple[int, int] | None = None  # stop words and words
 
 
 # Regions while a page is read, beside those of a block: beside the main text by name only, where an
@@ -124,7 +132,10 @@ def _zone(tag: str, attributes: str, around: int, ignored: bool) -> tuple[int, b
             if key == "style" and m[2] and "display:none" in m[2].replace(" ", "").lower():
                 return -1, False, False
             if key in ("class", "id", "role") and m[2]:
-                names |= set(_PART.findall(_CAMEL.sub("-", m[2].strip("\"'")).lower()))
+                for word in m[2].strip("\"'").split():
+                    parts = _PART.findall(_CAMEL.sub("-", word).lower())
+                    if parts and parts[0] not in LAYOUT:
+                        names.update(parts)
     if tag in ("html", "body"):
         return around, False, False
     own = bool(names & OWN_ARTICLES)
@@ -142,13 +153,13 @@ def _zone(tag: str, attributes: str, around: int, ignored: bool) -> tuple[int, b
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order, those without text left out."""
     found, named, prose = _blocks(page, frozenset())
-    # No part beside the main text holds most of the prose: there the names mean something else.
+    # Where nothing else is prose, the names of an element that holds most of it mean something
+    # else; comments and the like last, which may be longer than a text of one short line.
     most = [(at, own) for at, (size, own) in named.items() if 2 * size > prose]
     wrong = frozenset(at for at, own in most if not own)
-    if wrong:
+    if wrong and not any(_may_be_text(b, SHORT) for b in found):
         found = _blocks(page, wrong)[0]
-    # Comments and the like may be longer than the text, but there is some text then.
-    if len(wrong) < len(most) and not any(b.zone != -1 and not b.heading and _links(b) <= MOST_LINKS for b in found):
+    if len(wrong) < len(most) and not any(_may_be_text(b, 1) for b in found):
         found = _blocks(page, frozenset(at for at, _ in most))[0]
     marked = any(b.zone == 1 and len(b.text) >= SHORT for b in found)
     for b in found:
@@ -159,6 +170,12 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _may_be_text(block: Block, size: int) -> bool:
+    """Whether a block that is not beside the main text has so many characters outside of links."""
+    beside = block.zone in (-1, NAMED) or block.heading or _links(block) > MOST_LINKS
+    return not beside and len(block.text) >= size
+
+
 def _blocks(page: str, ignored: frozenset[int]) -> tuple[list[Block], dict[int, tuple[int, bool]], int]:
     """Blocks; by place the prose of elements beside the main text by name, and whether their names
     are of OWN_ARTICLES; and all prose.
@@ -171,6 +188,7 @@ def _blocks(page: str, ignored: frozenset[int]) -> tuple[list[Block], dict[int,
     # Tag, region around it, and for elements counted in ``named`` their place.
     stack: list[tuple[str, int, int | None]] = []
     named: dict[int, tuple[int, bool]] = {}
+    still_open: Counter[str] = Counter()
     zone, links, breaks, prose, bare = 0, 0, 0, 0, 0
 
     def leave(depth: int) -> None:
@@ -181,6 +199,7 @@ def _blocks(page: str, ignored: frozenset[int]) -> tuple[list[Block], dict[int,
                 before, own = named[place]
                 named[place] = prose - before, own
             bare -= tag in BARE
+            still_open[tag] -= 1
         del stack[depth:]
 
     def close() -> None:
@@ -247,9 +266,8 @@ def _blocks(page: str, ignored: frozenset[int]) -> tuple[list[Block], dict[int,
             links = 0 if closing else 1
         if closing:
             # An end tag closes what was left open within its element; a stray one closes nothing.
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                leave(depth)
+            if still_open[tag]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
         else:
             if tag == "p" or tag == "li":
                 # A paragraph or item ends at the next one.
@@ -266,6 +284,7 @@ def _blocks(page: str, ignored: frozenset[int]) -> tuple[list[Block], dict[int,
                 zone, by_name, own = _zone(tag, attributes, zone, at in ignored)
             stack.append((tag, around, at if by_name else None))
             bare += tag in BARE
+            still_open[tag] += 1
             if by_name:
                 named[at] = prose, own
         if tag not in INLINE:
@@ -293,10 +312,12 @@ def _links(block: Block) -> float:
     return block.link_chars / max(1, len(block.text.replace(" ", "")))
 
 
-def _stops(text: str) -> tuple[int, int]:
+def _stops(block: Block) -> tuple[int, int]:
     """Stop words and words."""
-    tokens = _WORD.findall(text.lower())
-    return sum(t in STOP_WORDS for t in tokens), len(tokens)
+    if block.counted is None:
+        tokens = _WORD.findall(block.text.lower())
+        block.counted = sum(t in STOP_WORDS for t in tokens), len(tokens)
+    return block.counted
 
 
 def _size(text: str) -> int:
@@ -309,14 +330,18 @@ def _first_pass(block: Block, listed: bool) -> str:
     if block.zone < 0 or _links(block) > MOST_LINKS:
         return "bad"
     if block.zone > 0:
-        return "good" if size >= SHORT and not block.heading else "short"
+        if size < SHORT or block.heading:
+            return "short"
+        # A long block without any stop word is a table, a list of names or the like: as its neighbours are.
+        count, words = _stops(block) if listed else (1, 1)
+        return "good" if count >= MARKED_STOPS * words else "short"
     if not listed:
         size = _size(block.text)
     if size < SHORT or block.heading:
         return "short" if not block.link_chars else "bad"
     if not listed:
         return "good" if size >= LONG else "short"
-    count, words = _stops(block.text)
+    count, words = _stops(block)
     stops = count / max(1, words)
     if stops >= MANY_STOPS or (stops >= SOME_STOPS and size >= LONG):
         return "good"
@@ -328,14 +353,14 @@ def _listed(found: list[Block]) -> bool:
     stops = words = 0
     for b in found:
         if b.zone >= 0 and _size(b.text) >= SHORT and _links(b) <= MOST_LINKS:
-            count, size = _stops(b.text)
+            count, size = _stops(b)
             stops, words = stops + count, words + size
     return stops >= NO_LIST * words
 
 
 def label(found: list[Block]) -> list[Block]:
     """Blocks with their labels, good or bad."""
-    listed = not any(b.zone == 0 for b in found) or _listed(found)
+    listed = _listed(found)
     prose = [0, 0]
     for b in found:
         b.label = _first_pass(b, listed)
@@ -385,7 +410,7 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     """``pages`` with ``main_text`` and ``main_chars`` (code points).
 
     A null or empty page, and one without main text, gives an empty text. Whole pages are read;
-    other columns are kept.
+    other columns are kept. Rows stand for themselves: repeated pages and null ids give a row each.
     """
 
     def compute(texts: pa.Array) -> list[pa.Array]:
