@@ -1,27 +1,39 @@
 """Quality rules by tokeniser fertility.
 
-A public vocabulary cuts natural text into pieces of a usual length; noise falls apart into many
-short pieces, bytes or a few repeated ones. Each language has bands for characters per token, the
-share of byte fallback and the entropy of the tokens; a document outside one is rejected.
+Public vocabularies cut natural text into pieces of a usual length; noise falls apart into many
+short pieces, bytes or a few repeated ones. Each language has bands for characters per token and
+the entropy of the tokens of two vocabularies, and for the share of byte fallback of the one that
+has it; a document outside one is rejected.
+
+The bands of a language with few documents lean on those of the script, more so the fewer they
+are, and are wider: there is no number of documents at which another rule begins.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.llm.text import add_columns, byte_table, duplicate_lines, repeated_window_words, words
-from candlemill.llm.vocabularies import PIECE_BPE, encoder
+from candlemill.llm.vocabularies import PIECE_BPE, WORD_BPE, encoder
 from candlemill.sources.staging import stage
 
 MIN_WORDS = 50
 # Half-width of a band in interquartile ranges, and its least half-width.
 SPREAD = 3.0
-FLOORS = {"chars_per_token": 0.25, "byte_share": 0.02, "entropy_gap": 0.4}
-# Languages with fewer documents share one set of bands.
-LEAST_DOCS = 100
+FLOORS = {
+    "chars_per_token": 0.25,
+    "byte_share": 0.02,
+    "entropy_gap": 0.4,
+    "word_chars_per_token": 0.25,
+    "word_entropy_gap": 0.4,
+}
+# So many documents of a script weigh as much as a language's own.
+PRIOR_DOCS = 100
+# A band is wider by this over the root of the number of documents behind it.
+WIDER = 2.0
 # More languages than these, of some 100 bytes each, are joined without a broadcast.
 BROADCAST_LANGUAGES = 10_000
 
@@ -29,7 +41,8 @@ _SYMBOL = byte_table("#*$%&|<>")
 _CONTINUES = (np.arange(256) & 0xC0) == 0x80
 _FIELDS = (
     "_n_words long, _word_chars long, _n_symbols long, _n_dup_lines long, _n_repeat_words long, "
-    "_n_tokens long, _chars_per_token double, _byte_share double, _entropy double, _script string"
+    "_n_tokens long, _chars_per_token double, _byte_share double, _entropy double, _n_word_tokens long, "
+    "_word_chars_per_token double, _word_entropy double, _script string"
 )
 # Scripts by the range of code points that their letters mostly have.
 SCRIPTS = [
@@ -65,14 +78,16 @@ def _entropy(ids: np.ndarray) -> float:
     return float(-(p * np.log2(p)).sum())
 
 
-def measures(texts: pa.Array, vocabulary: str = PIECE_BPE) -> list[pa.Array]:
-    """The columns of ``_FIELDS`` for each text."""
+def measures(texts: pa.Array, vocabulary: str = PIECE_BPE, second: str = WORD_BPE) -> list[pa.Array]:
+    """The columns of ``_FIELDS`` for each text; the first vocabulary has byte fallback."""
     w = words(texts, lower=False)
     strings = texts.to_pylist()
     model = encoder(vocabulary)
     flat, first = model.encode(texts)
     tokens = np.diff(first)
     ids = [flat[a:b] for a, b in zip(first[:-1], first[1:])]
+    other, at = encoder(second).encode(texts)
+    other_tokens = np.diff(at)
     in_words = np.bincount(w.doc, w.end - w.start, len(w)).astype(np.int64)
     chars = in_words - w.count_bytes(_CONTINUES)
     fallback = np.array([int(model.is_byte[i].sum()) for i in ids], np.int64)
@@ -86,65 +101,82 @@ def measures(texts: pa.Array, vocabulary: str = PIECE_BPE) -> list[pa.Array]:
         pa.array(chars / np.maximum(tokens, 1)),
         pa.array(fallback / np.maximum(tokens, 1)),
         pa.array([_entropy(i) for i in ids], pa.float64()),
+        pa.array(other_tokens),
+        pa.array(chars / np.maximum(other_tokens, 1)),
+        pa.array([_entropy(other[a:b]) for a, b in zip(at[:-1], at[1:])], pa.float64()),
         pa.array([script(t) for t in strings], pa.string()),
     ]
 
 
+def _quartiles(usable: DataFrame, by: str, prefix: str) -> DataFrame:
+    """Per value of ``by``: the number of documents and the quartiles of each measure."""
+    found = [
+        F.percentile_approx(name, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias(f"{prefix}{name}")
+        for name in FLOORS
+    ]
+    return usable.groupBy(by).agg(F.count("*").alias(f"{prefix}docs"), *found)
+
+
 def bands(measured: DataFrame, spread: float = SPREAD) -> DataFrame:
-    """Per language: low_ and high_ limits of each measure, the quartiles and so many times their range.
+    """Per language and script: low_ and high_ limits of each measure, of documents that pass the base rules.
 
-    Documents that fail the base rules are left out. The row of language null holds for those with
-    fewer than ``LEAST_DOCS`` documents.
+    A band reaches ``spread`` times the quartiles' range beyond them, by ``FLOORS`` at least. The
+    quartiles are those of the language, with the script's as ``PRIOR_DOCS`` documents more.
     """
     usable = measured.where("NOT base_failed")
+    pairs = usable.select("language", "script").distinct()
+    joined = pairs.join(_quartiles(usable, "language", "own_"), "language").join(
+        _quartiles(usable, "script", "all_"), "script"
+    )
+    own, wide = F.col("own_docs"), 1 + WIDER / F.sqrt(F.col("all_docs"))
+    out = [F.col("language"), F.col("script")]
+    for name, floor in FLOORS.items():
+        low, high = (
+            (own * F.col(f"own_{name}")[k] + PRIOR_DOCS * F.col(f"all_{name}")[k]) / (own + PRIOR_DOCS) for k in (0, 1)
+        )
+        reach = F.greatest(spread * (high - low), F.lit(floor)) * wide
+        out += [(low - reach).alias(f"low_{name}"), (high + reach).alias(f"high_{name}")]
+    return joined.select(*out)
 
-    def limits(rows: DataFrame) -> DataFrame:
-        quartiles = [
-            F.percentile_approx(name, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias(f"q_{name}") for name in FLOORS
-        ]
-        found = rows.groupBy("language").agg(F.count("*").alias("docs"), *quartiles)
-        for name, floor in FLOORS.items():
-            low, high = F.col(f"q_{name}")[0], F.col(f"q_{name}")[1]
-            reach = F.greatest(spread * (high - low), F.lit(floor))
-            found = found.withColumn(f"low_{name}", low - reach).withColumn(f"high_{name}", high + reach)
-        return found.drop(*[f"q_{n}" for n in FLOORS])
 
-    own = limits(usable).where(F.col("docs") >= LEAST_DOCS)
-    return own.unionByName(limits(usable.withColumn("language", F.lit(None).cast("string")))).drop("docs")
+def entropy_gap(entropy: str, tokens: str) -> Column:
+    """The entropy less what the number of tokens lets expect, so that long and short documents are alike."""
+    return F.col(entropy) - 8.0 * (1 - F.exp(-F.ln(1 + F.col(tokens)) / 4))
 
 
-def fertility_rules(docs: DataFrame, vocabulary: str = PIECE_BPE, spread: float = SPREAD) -> DataFrame:
+def fertility_rules(
+    docs: DataFrame, vocabulary: str = PIECE_BPE, spread: float = SPREAD, second: str = WORD_BPE
+) -> DataFrame:
     """One row per document: doc_id, the base counts, the measures, base_failed, kept, language.
 
     The language is the lang column, or the script of the text where lang is null or missing. The
     bands come from all documents that pass the base rules (50 words at least, at most half of
-    them in repeated windows of three). entropy_gap is the entropy less what the number of tokens
-    lets expect, so that long and short documents are alike. Null and empty texts fail the base
-    rules. Other columns are not read; rows that repeat an id are judged each.
+    them in repeated windows of three). Null and empty texts fail the base rules. Other columns
+    are not read; rows that repeat an id are judged each; an empty table gives an empty result.
     """
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), lang.alias("_lang"), F.col("text").cast("string").alias("text")
     )
-    rows = add_columns(rows, lambda texts: measures(texts, vocabulary), _FIELDS).drop("text")
+    rows = add_columns(rows, lambda texts: measures(texts, vocabulary, second), _FIELDS).drop("text")
     rows = rows.toDF(*[c.lstrip("_") for c in rows.columns])
     rows = rows.withColumn("language", F.coalesce("lang", "script")).drop("lang")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = rows.withColumn("base_failed", failed)
-    expected = 8.0 * (1 - F.exp(-F.ln(1 + F.col("n_tokens")) / 4))
-    rows = stage(rows.withColumn("entropy_gap", F.col("entropy") - expected), "fertility")
-    limits = stage(bands(rows, spread), "bands")  # one row per language
+    rows = rows.withColumns(
+        {
+            "base_failed": failed,
+            "entropy_gap": entropy_gap("entropy", "n_tokens"),
+            "word_entropy_gap": entropy_gap("word_entropy", "n_word_tokens"),
+        }
+    )
+    rows = stage(rows, "fertility")
+    limits = stage(bands(rows, spread), "bands")  # one row per language and script
     names = [f"{side}_{n}" for n in FLOORS for side in ("low", "high")]
-    common = limits.where("language IS NULL").first()
-    own = limits.where("language IS NOT NULL")
-    if own.count() <= BROADCAST_LANGUAGES:
-        own = F.broadcast(own)
-    joined = rows.join(own, "language", "left")
+    if limits.count() <= BROADCAST_LANGUAGES:
+        limits = F.broadcast(limits)
+    joined = rows.join(limits, ["language", "script"], "left")
     inside = F.lit(True)
     for name in FLOORS:
-        low, high = (
-            F.coalesce(F.col(f"{side}_{name}"), F.lit(common[f"{side}_{name}"] if common else None))
-            for side in ("low", "high")
-        )
-        inside = inside & F.coalesce(F.col(name).between(low, high), F.lit(True))
+        within = F.col(name).between(F.col(f"low_{name}"), F.col(f"high_{name}"))
+        inside = inside & F.coalesce(within, F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & inside).drop(*names)

@@ -107,6 +107,8 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
         "chars_per_token",
         "byte_share",
         "entropy",
+        "word_chars_per_token",
+        "word_entropy",
     )
 
 
