@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from oracle_check import compare, connect
 
-from candlemill.llm import decontaminate, extract, lm, mixing, neardup, passages, token_files, toxicity
+from candlemill.llm import decontaminate, extract, fertility, lm, mixing, neardup, passages, token_files, toxicity
 from candlemill.llm.graph import components
 from candlemill.llm.labels import remainder
 from candlemill.llm.queries import LLM_ORACLE, LLM_QUERIES
@@ -144,6 +144,27 @@ def test_passages_with_an_edit(frame):
     assert spans[50] == (80, 70) and spans[51] == (10, 70) and spans[60] == (0, 72)
 
 
+def test_passage_recall(frame):
+    """Passages of 50 to 200 words with a word in twenty replaced, put in or left out, and a line in half of all texts."""
+    rng = random.Random(21)
+    fresh = lambda n: [f"q{rng.randrange(10**9)}" for _ in range(n)]
+    line, rows, planted = fresh(15), [], 240
+    for i in range(planted):
+        shared = fresh(rng.randrange(50, 201))
+        edited = list(shared)
+        for at in sorted(rng.sample(range(8, len(shared) - 8), max(1, len(shared) // 60)), reverse=True):
+            edited[at : at + 1] = [fresh(1), fresh(1) + [edited[at]], []][i % 3]
+        between = line if i % 2 else fresh(15)
+        twice = shared if i % 5 == 0 else []
+        rows.append((3 * i, " ".join(fresh(70) + shared + between + twice + fresh(70))))
+        rows.append((3 * i + 1, " ".join(fresh(50) + line + edited + fresh(90))))
+        if i % 4 == 0:
+            rows.append((3 * i + 2, " ".join(fresh(5) + shared + line)))
+    found = passages.repeated_passages(frame("doc_id long, text string", *rows)).collect()
+    assert all(r.doc_id // 3 == r.partner_id // 3 for r in found)
+    assert len({r.doc_id for r in found}) >= 0.97 * len(rows)
+
+
 def test_passages_with_words_put_in_or_left_out(frame):
     """Repeats little longer than the least, one word put in or left out at least ten words from their ends."""
     rng = random.Random(11)
@@ -302,6 +323,40 @@ def test_extraction_marks_are_evidence():
         assert extract.main_text(page) == f"{text}\n{text}"
 
 
+def test_names_beside_the_text_go_whatever_their_length():
+    p = "The cat sat on the mat and it was the best of all the days that they had in the house. "
+    two, long = (p * 2).strip(), (p * 6).strip()
+    for beside in ("id='header'", "class='cookie-notice'", "id=comments", "class=site-footer", "role=banner"):
+        page = f"<body><div {beside}><p>{long}</p></div><div class='post-body'><p>{two}</p></div></body>"
+        assert extract.main_text(page) == two, beside
+        assert extract.main_text(f"<body><div {beside}><p>{long}</p></div><div><p>{two}</p></div></body>") == two, beside
+    # Where there is nothing else, it is the text after all.
+    assert extract.main_text(f"<body><div class='widget'><p>{long}</p></div></body>") == long
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        page = "<div>" * n + "<p>text" + "</span></b>" * n + "</div>" * n
+        start = time.perf_counter()
+        extract.main_text(page)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * took[0]
+
+
+def test_pages_without_names(results, shipped_spark):
+    """The densities alone label most blocks of the supplied pages as names and marks do."""
+    pages = shipped_spark.read.parquet(f"{SF_DIR}/pages.parquet").select("html").toPandas().html
+    same = every = 0
+    for page in pages.dropna():
+        plain = re.sub(r"""\s(?:class|id|role)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""", "", page)
+        a, b = extract.main_text(page).split("\n"), extract.main_text(plain).split("\n")
+        same, every = same + len(set(a) & set(b)), every + len(set(a) | set(b))
+    assert same / every > 0.8, same / every
+
+
 def test_pages(results):
     rows = results("op6_extraction")
     assert (rows.n_chars == rows.text.str.len()).all() and (rows.n_chars > 0).mean() > 0.95
@@ -477,3 +532,86 @@ def test_fertility(results, texts):
         failed = len(w) < 50 or 100 * len(inside) > 50 * len(w)
         assert r.base_failed == failed and not (failed and r.kept)
     assert rows[~rows.base_failed].kept.mean() > 0.85
+
+
+def plain_measures(text):
+    """Characters per token, byte share and entropy gap of both vocabularies, from the libraries."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    if not plain_measures.__dict__:
+        plain_measures.piece = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECE_BPE))
+        plain_measures.word = Tokenizer.from_file(public_tokenizers.path(WORD_BPE))
+    w = WORD.findall(text)
+    pieces = [i for x in plain_measures.piece.encode(w, num_threads=1) for i in x]
+    other = plain_measures.word.encode(text, add_special_tokens=False).ids
+    chars = sum(map(len, w))
+
+    def gap(ids):
+        p = [c / len(ids) for c in collections.Counter(ids).values()]
+        return -sum(x * math.log2(x) for x in p) - 8 * (1 - math.exp(-math.log(1 + len(ids)) / 4))
+
+    return {
+        "chars_per_token": chars / max(len(pieces), 1),
+        "byte_share": sum(plain_measures.piece.is_byte(i) for i in pieces) / max(len(pieces), 1),
+        "entropy_gap": gap(pieces),
+        "word_chars_per_token": chars / max(len(other), 1),
+        "word_entropy_gap": gap(other),
+    }
+
+
+def plain_bands(measured):
+    """Limits by (language, script) of (language, script, measures) of usable documents."""
+    def quartiles(values):
+        ordered = sorted(values)
+        return [ordered[max(math.ceil(q * len(ordered)) - 1, 0)] for q in (0.25, 0.75)]
+
+    out = {}
+    for pair in {m[:2] for m in measured}:
+        own = [m[2] for m in measured if m[0] == pair[0]]
+        script = [m[2] for m in measured if m[1] == pair[1]]
+        wide = 1 + fertility.WIDER / math.sqrt(len(script))
+        limits = {}
+        for name, floor in fertility.FLOORS.items():
+            a, b = quartiles([m[name] for m in own]), quartiles([m[name] for m in script])
+            low, high = ((len(own) * x + 100 * y) / (len(own) + 100) for x, y in zip(a, b))
+            reach = max(3.0 * (high - low), floor) * wide
+            limits[name] = (low - reach, high + reach)
+        out[pair] = limits
+    return out
+
+
+def test_fertility_measures_and_verdicts(shipped_spark, results, texts):
+    langs = dict(shipped_spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang").collect())
+    rows = results("op10_fertility").set_index("doc_id")
+    usable = {i: plain_measures(t) for i, t in texts.items() if not rows.loc[i].base_failed}
+    for i, want in usable.items():
+        for name in ("chars_per_token", "byte_share", "word_chars_per_token"):
+            assert rows.loc[i][name] == pytest.approx(want[name])
+    groups = {i: (langs[i] or fertility.script(texts[i]), fertility.script(texts[i])) for i in usable}
+    bands = plain_bands([(*groups[i], m) for i, m in usable.items()])
+    for i, m in usable.items():
+        limits = bands[groups[i]]
+        assert rows.loc[i].kept == all(limits[n][0] <= m[n] <= limits[n][1] for n in fertility.FLOORS), (i, m, limits)
+
+
+def test_bands_have_no_step(shipped_spark):
+    """A language's verdicts are nearly the same at 99 and 100 documents, and a rare one is not rejected whole."""
+    names = list(fertility.FLOORS)
+    rng = random.Random(8)
+
+    def table(rare):
+        rows = [("en", "latin", False, *[4 + 0.1 * rng.random() for _ in names]) for _ in range(2000)]
+        rows += [("th", "thai", False, *[1 + 0.1 * random.Random(k).random() for _ in names]) for k in range(rare)]
+        fields = ", ".join(f"{n} double" for n in names)
+        made = shipped_spark.createDataFrame(rows, f"language string, script string, base_failed boolean, {fields}")
+        return {r.language: r for r in fertility.bands(made).collect()}["th"]
+
+    limits = {n: table(n) for n in (1, 99, 100)}
+    rare = random.Random(0)
+    for name in names:
+        value = 1 + 0.1 * rare.random()
+        assert limits[1][f"low_{name}"] <= value <= limits[1][f"high_{name}"] < 3
+        for side in ("low", "high"):
+            assert limits[99][f"{side}_{name}"] == pytest.approx(limits[100][f"{side}_{name}"], abs=0.02)

@@ -1,0 +1,110 @@
+"""Statistics of the quality rules and scores of the sentence model, word by word."""
+
+from __future__ import annotations
+
+import collections
+import math
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from candlemill.llm import quality, toxicity
+from candlemill.llm.labels import remainder
+
+SF_DIR = "/root/testdata/sf0.001"
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def documents(shipped_spark):
+    return shipped_spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def labels(shipped_spark):
+    return shipped_spark.read.parquet(f"{SF_DIR}/labels.parquet")
+
+
+def plain_statistics(text: str) -> list[float]:
+    raw = text.encode()
+    w = WORD.findall(raw)
+    n, per = len(w), max(len(w), 1)
+    count = lambda chars: sum(raw.count(c.encode()) for c in chars)
+    upper = len(re.findall(rb"[A-Z]", raw))
+    grams = collections.Counter(zip(w, w[1:], w[2:]))
+    repeated = {k + j for k in range(n - 2) if grams[tuple(w[k : k + 3])] > 1 for j in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x.encode())]
+    return [
+        math.log1p(n),
+        sum(map(len, w)) / per,
+        upper / max(len(re.findall(rb"[A-Za-z]", raw)), 1),
+        count("#*$%&<>^~_=+@{}[]\\/") / per,
+        count("|") / per,
+        count("!") / per,
+        count(".?") / per,
+        count("0123456789") / max(len(raw), 1),
+        count(",;:()'\"-") / per,
+        sum(len(x) <= 3 for x in w) / per,
+        len(set(w)) / per,
+        len(repeated) / per,
+        (len(lines) - len(set(lines))) / max(len(lines), 1),
+        n / max(len(lines), 1),
+    ]
+
+
+def test_statistics(documents):
+    texts = [r[0] or "" for r in documents.select("text").collect()]
+    texts += ["", " \n ", "ONE", "a a a a\na a a a\n\nb|!?", "é漢 \x00 12", "x\x0b" * 50]
+    columns = quality.statistics(pa.array(texts, pa.large_string()))
+    got = np.array([c.to_pylist() for c in columns]).T
+    for text, row in zip(texts, got):
+        assert row == pytest.approx(plain_statistics(text)), text[:80]
+
+
+def test_quality_score_is_the_sum_of_its_rules(documents, labels):
+    model = quality.fit(documents, labels, remainder(F.col("doc_id"), 5) != 0)
+    assert model.rules
+    scored = quality.classify(documents.select("doc_id", "text"), model).collect()
+    for r in scored:
+        values = plain_statistics(r.text or "")
+        total = model.intercept
+        for rule, weight in model.rules:
+            if all((values[k] > limit) == above for k, above, limit in rule):
+                total += weight
+        assert r.quality_score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-6)
+
+
+def plain_toxicity(text: str, model: toxicity.SentenceModel, features: dict) -> tuple[float, int]:
+    """Noisy-or over the sentences, and the first of the likeliest ones."""
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    odds = []
+    for sentence in re.split(r"[.!?\n]", text):
+        lower = sentence.translate({k: k + 32 for k in range(65, 91)}).encode()
+        found = {h for w in re.findall(rb"[a-z\x80-\xff]+", lower) for h in features[w] if h in weight}
+        odds.append(model.bias + sum(weight[h] for h in found))
+    clean = 1 - model.leak
+    for x in odds:
+        clean *= 1 / (1 + math.exp(x))
+    return 1 - clean, odds.index(max(odds))
+
+
+def test_toxic_scores(documents, labels):
+    model = toxicity.fit(documents, labels, remainder(F.col("doc_id"), 3) != 1)
+    assert len(model.features) > 3
+    rows = toxicity.score(documents.select("doc_id", "text"), model).collect()
+    every = sorted({
+        w
+        for r in rows
+        for w in re.findall(rb"[a-z\x80-\xff]+", (r.text or "").translate({k: k + 32 for k in range(65, 91)}).encode())
+    })
+    features = {}
+    for w in every:
+        own = toxicity.words(pa.array([w.decode()], pa.large_string()), between=toxicity._BETWEEN)
+        features[w] = {int(h[0]) for h in toxicity._features(own)}
+    for r in rows:
+        p, sentence = plain_toxicity(r.text or "", model, features)
+        assert r.toxic_score == pytest.approx(p, abs=1e-9) and r.toxic_sentence == sentence
+    assert any(r.toxic_score > 0.7 for r in rows)
