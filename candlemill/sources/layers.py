@@ -81,6 +81,29 @@ def write_layer(
     writer.parquet(path)
 
 
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files of a folder, none if it does not exist."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in store.listStatus(path)} if store.exists(path) else set()
+
+
+def replace_days(df: DataFrame, path: str, days: DataFrame) -> None:
+    """Replace the named days of a layer by ``df``, which has rows of no other day.
+
+    A day without rows has its directory removed: its old files are told from new ones by name.
+    """
+    spark = df.sparkSession
+    listed = [tuple(row) for row in days.select(*DAY).distinct().collect()]
+    folders = ["/".join([path, *(f"{name}={value}" for name, value in zip(DAY, day))]) for day in listed]
+    before = {folder: _files(spark, folder) for folder in folders}
+    write_layer(df, path, DAY, replace_partitions=True)
+    for folder, files in before.items():
+        if files and _files(spark, folder) == files:
+            gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def stream_to_layer(
     df: DataFrame,
     path: str,

@@ -20,7 +20,7 @@ from candlemill.functions.times import AsOf
 from candlemill.operators.candles import candles, silver_order
 from candlemill.operators.health import hourly_ingestion
 from candlemill.operators.refine import add_partitions, silver
-from candlemill.sources.layers import DAY, of_days, read_layer, stream_layer, write_layer
+from candlemill.sources.layers import DAY, of_days, read_layer, replace_days, stream_layer
 from candlemill.sources.staging import drop_staged, new_folder
 from candlemill.streaming.drain import start_drain
 
@@ -68,7 +68,7 @@ def silver_days(
     def build(days: DataFrame) -> None:
         trades = of_days(read_layer(spark, bronze_path, schemas.BRONZE), days)
         rows = silver(trades, settings, as_of).select(*schemas.SILVER.names)
-        write_layer(rows, path, schemas.SILVER_PARTITIONS, replace_partitions=True)
+        replace_days(rows, path, days)
 
     changes = stream_layer(spark, bronze_path, schemas.BRONZE, max_files)
     return rebuild_days(spark, changes, build, checkpoint, record, "silver_days")
@@ -93,7 +93,7 @@ def candle_days(
         trades = of_days(read_layer(spark, silver_path, schemas.SILVER), days)
         built = candles(trades, settings.candle_width, **silver_order(), as_of=as_of)
         by_day = add_partitions(built, "candle_start_time")
-        write_layer(by_day, path, schemas.SILVER_PARTITIONS, replace_partitions=True)
+        replace_days(by_day, path, days)
 
     changes = stream_layer(spark, f"{record}/*", schemas.DAYS)
     return rebuild_days(spark, changes, build, checkpoint, done, "candle_days")
@@ -116,7 +116,7 @@ def hour_days(
     def build(days: DataFrame) -> None:
         candles_ = of_days(read_layer(spark, candle_path, _DATED_CANDLES), days)
         by_day = add_partitions(hourly_ingestion(candles_, per_hour), "ingestion_hour")
-        write_layer(by_day, path, schemas.SILVER_PARTITIONS, replace_partitions=True)
+        replace_days(by_day, path, days)
 
     changes = stream_layer(stream or spark, f"{record}/*", schemas.DAYS)
     return rebuild_days(spark, changes, build, checkpoint, name="hour_days")

@@ -200,3 +200,13 @@ def test_mart_is_rebuilt(spark, frame, tmp_path):
         warehouse.write_mart(frame("a int", (value,)), "mart_rebuilt", path)
     assert rows(warehouse.read_table(spark, "mart_rebuilt")) == [(2,)]
     assert spark.read.parquet(path).select(F.sum("a")).first()[0] == 2
+
+
+def test_a_day_that_comes_out_empty_goes(spark, frame, tmp_path):
+    path, schema = str(tmp_path / "layer"), "x int, year int, month int, day int"
+    layers.write_layer(frame(schema, *[(d, 2024, 1, d) for d in (1, 2, 3)]), path, layers.DAY)
+    days = frame("year int, month int, day int", (2024, 1, 2), (2024, 1, 3), (2024, 1, 4))
+    layers.replace_days(frame(schema, (30, 2024, 1, 3)), path, days)
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 30]
+    layers.replace_days(frame(schema).where("false"), path, days)
+    assert [r.x for r in spark.read.parquet(path).collect()] == [1]
