@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candlemill.llm import decontaminate, mixing, neardup, quality, token_files
 from candlemill.llm.labels import remainder
 from candlemill.llm.ship import ship, shipped
-from candlemill.sources.staging import new_folder
+from candlemill.sources.staging import drop_staged, new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,11 +57,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written as Parquet and read again for the next."""
+    """All stages over the documents, each written as Parquet and read again for the next.
+
+    A null in any column, an empty or very long text, ties, repeated rows, an empty table and more
+    columns give what the stages' operators say of them: rows without an id are judged each and
+    never linked, of rows that repeat an id one stays after the near-duplicate stage, and all
+    columns are carried to the last stage, which returns its digest. What a stage wrote is removed
+    when the next one has read it.
+    """
     ship(spark)
-    docs = _table(spark, sf_dir, "documents")
+    docs, written = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = new_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if written is not None:
+            drop_staged(written)
+        docs = written = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
