@@ -9,15 +9,22 @@ Links are found without listing the pairs of a group:
 1. Documents with equal shingle sets are one class.
 2. In each bucket every member is compared with one hub, the member that shares buckets with most
    others, so a group of copies costs one comparison each.
-3. Only members of a bucket that this leaves in different components are compared with each
-   other, each pair in the first bucket it shares and only if sizes and sketches allow a link.
+3. In buckets that this leaves in several components, members are put in some orders, each by a
+   part of their sketches, and in each a member is compared with the next one of another
+   component: near copies of a family that its hub does not reach are neighbours in some order.
+4. Only members of a bucket that are in different components still are compared with each other,
+   each pair in the first bucket it shares and only if sizes and sketches allow a link.
+
+Members of buckets in several components get wide sketches, of eight times as many permutations, so
+that documents of one template below the similarity are told apart before their texts are joined.
 
 Every comparison is confirmed on the full shingle sets. A pair at similarity 0.85 shares no bucket
-with probability 4e-5, and its sketch is below the limit with probability 2e-5.
+with probability 4e-5, and either of its sketches is below the limit with probability 2e-5.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.llm.graph import components
+from candlemill.llm.memory import lean
+from candlemill.llm.sorting import ordered
 from candlemill.llm.text import free_prefix, mix, pieces, set_similarity, shingles, words
 from candlemill.sources.staging import stage
 
@@ -35,25 +44,34 @@ PER_BAND = PERMUTATIONS // BANDS
 SKETCH_LONGS = 2 * PERMUTATIONS * 2 // 64
 # Of 256 two-bit values, so many agree at least; at similarity 0.85 the mean is 227, deviation 5.
 SKETCH_AGREE = 206
+# The same of wide sketches: of 2048 values the mean is 1818, the deviation 14.
+WIDE = 1_024
+WIDE_LONGS = 2 * WIDE * 2 // 64
+WIDE_AGREE = 1_757
+# Orders of neighbours, each by another two longs of the sketches.
+ORDERS = 4
 
 _SEEDS = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _SCALE = _SEEDS[:PERMUTATIONS] | np.uint64(1)
 _SHIFT = _SEEDS[PERMUTATIONS:]
+_WIDE_SEEDS = mix(np.arange(1, 2 * WIDE + 1, dtype=np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
 _PLACE = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
 
 SIGNATURES = "doc_id long, n_shingles long, set_hi long, set_lo long, keys array<long>, sketch array<long>"
 
 
-def min_max(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+def min_max(
+    values: np.ndarray, begins: np.ndarray, scale: np.ndarray = _SCALE, shift: np.ndarray = _SHIFT
+) -> np.ndarray:
     """Signatures (documents, 2 * permutations): minimum and maximum under each permutation.
 
     ``begins`` holds the first value of each document, none of them empty.
     """
-    out = np.empty((len(begins) - 1, 2 * PERMUTATIONS), np.uint64)
+    out = np.empty((len(begins) - 1, 2 * len(scale)), np.uint64)
     at = begins[:-1]
-    for p in range(PERMUTATIONS):
-        permuted = values * _SCALE[p]
-        permuted += _SHIFT[p]
+    for p in range(len(scale)):
+        permuted = values * scale[p]
+        permuted += shift[p]
         out[:, 2 * p] = np.minimum.reduceat(permuted, at)
         out[:, 2 * p + 1] = np.maximum.reduceat(permuted, at)
     return out
@@ -67,7 +85,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 def sketches(signature: np.ndarray) -> np.ndarray:
     """Two bits of every value, 32 values to a long."""
-    bits = (mix(signature) & np.uint64(3)).reshape(len(signature), SKETCH_LONGS, 32)
+    bits = (mix(signature) & np.uint64(3)).reshape(len(signature), -1, 32)
     return (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64)
 
 
@@ -109,6 +127,18 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _wide_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, wide) of documents with shingles, some at a time."""
+    for batch in batches:
+        for row, texts in pieces(batch.column("text"), 200_000):
+            w = words(texts)
+            values, begins = shingles(w.hashes(), w.first)
+            wide = sketches(min_max(values, begins, _WIDE_SEEDS[:WIDE] | np.uint64(1), _WIDE_SEEDS[WIDE:]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(row, len(w)), _lists(wide)], names=["rep", "wide"]
+            )
+
+
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of rows (a, b, text_a, text_b) those whose full shingle sets are similar enough."""
 
@@ -136,14 +166,15 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             )
 
 
-def _sketches_agree(a: str, b: str) -> Column:
-    """Whether at least ``SKETCH_AGREE`` two-bit values of the sketches agree."""
+def _sketches_agree(a: str, b: str, name: str = "sketch") -> Column:
+    """Whether enough two-bit values of the sketches, or of the wide ones, agree."""
+    longs, most = (WIDE_LONGS, 2 * WIDE - WIDE_AGREE) if name == "wide" else (SKETCH_LONGS, 2 * PERMUTATIONS - SKETCH_AGREE)
     differ = F.lit(0)
-    for i in range(SKETCH_LONGS):
-        x = F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])
+    for i in range(longs):
+        x = F.col(f"{a}.{name}")[i].bitwiseXOR(F.col(f"{b}.{name}")[i])
         one = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         differ = differ + F.bit_count(one)
-    return differ <= 2 * PERMUTATIONS - SKETCH_AGREE
+    return differ <= most
 
 
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
@@ -156,7 +187,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b")
-    return stage(rows.mapInArrow(lambda it: _linked(it, percent), "a long, b long"), "linked")
+    return stage(rows.mapInArrow(lean(lambda it: _linked(it, percent)), "a long, b long"), "linked")
 
 
 def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -165,6 +196,76 @@ def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
 
 
+def _open_buckets(members: DataFrame, clusters: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (rep, key, root, top) of buckets in several components, and all clusters with their root.
+
+    The top of a bucket is the component that most of its members are in.
+    """
+    roots = components(links)
+    placed = stage(
+        clusters.join(roots, clusters["rep"] == roots["node"], "left")
+        .withColumn("root", F.coalesce("root", "rep"))
+        .drop("node"),
+        "placed",
+    )
+    in_bucket = members.select("rep", "key").join(placed.select("rep", "root"), "rep")
+    largest = (
+        in_bucket.groupBy("key", "root")
+        .agg(F.count("*").alias("n"))
+        .groupBy("key")
+        .agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select("key", F.col("top.root").alias("top"))
+    )
+    return stage(in_bucket.join(largest, "key").select("rep", "key", "root", "top"), "open"), placed
+
+
+_NEIGHBOUR = ["key", "rep", "root", "n_shingles", "wide"]
+_LOW_BITS = int.from_bytes(b"\x55" * (8 * WIDE_LONGS), "little")
+
+
+def _neighbours(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of neighbours in their bucket, of different components, that may be linked.
+
+    Neighbours are those in the order of the sketch from its long ``2 * turn`` on. A member of a
+    small component is taken with the last one before and the first one after it of another. The
+    members at the ends of a task's rows have fewer neighbours; the last step looks at what is
+    still apart.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row of a bucket, and the last one of another component before it
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in _NEIGHBOUR[:-1]]
+            wide = batch.column("wide").flatten().to_numpy().reshape(batch.num_rows, -1)
+            pairs = set()
+            for key, rep, root, size, sketch in zip(*columns, wide):
+                own = (key, rep, root, size, int.from_bytes(sketch.tobytes(), "little"))
+                if held is None or held[0][0] != key:
+                    held = (own, None)
+                    continue
+                last, other = held
+                partner = last if last[2] != root else other
+                if partner is not None and _may_link(partner, own, percent):
+                    pairs.add((max(rep, partner[1]), min(rep, partner[1])))
+                held = (own, last if last[2] != root else other)
+            listed = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(listed[:, 0]), pa.array(listed[:, 1])], names=["a", "b"])
+
+    order = ["key", "x", "y", "rep"]
+    keyed = rows.withColumns({"x": F.col("sketch")[2 * turn], "y": F.col("sketch")[2 * turn + 1]})
+    dealt = ordered(keyed, order).select(*_NEIGHBOUR)
+    return dealt.mapInArrow(lean(run), "a long, b long")
+
+
+def _may_link(x: tuple, y: tuple, percent: int) -> bool:
+    """Whether sizes and wide sketches (at 3 and 4 of both) allow a link."""
+    if 100 * min(x[3], y[3]) < percent * max(x[3], y[3]):
+        return False
+    bits = x[4] ^ y[4]
+    return ((bits | (bits >> 1)) & _LOW_BITS).bit_count() <= 2 * WIDE - WIDE_AGREE
+
+
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` with one document of each component: the smallest doc_id, and one of its rows.
 
@@ -193,7 +294,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     if percent < 85:
         raise ValueError("bands and sketches are made for similarities of 0.85 or more")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stage(docs.mapInArrow(_signatures, SIGNATURES), "signatures")
+    signed = stage(docs.mapInArrow(lean(_signatures), SIGNATURES), "signatures")
 
     # Equal sets are one class, represented by its smallest document.
     filled = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -230,28 +331,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     stars = stage(stars, "stars")
 
     # What a hub leaves apart: members outside the largest component of their bucket.
-    clusters = members.select("rep").distinct()
-    texts = _texts_of(stars, docs)
-    links = _confirm(stars, texts, percent)
-    roots = stage(components(links), "roots")
-    placed = stage(
-        clusters.join(roots, clusters["rep"] == roots["node"], "left")
-        .select("rep", F.coalesce("root", "rep").alias("root"))
-        .join(classes, "rep"),
-        "placed",
-    )
-    in_bucket = members.select("rep", "key").join(placed.select("rep", "root"), "rep")
-    largest = (
-        in_bucket.groupBy("key", "root")
-        .agg(F.count("*").alias("n"))
-        .groupBy("key")
-        .agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("key", F.col("top.root").alias("top"))
-    )
-    open_buckets = stage(in_bucket.join(largest, "key").select("rep", "key", "root", "top"), "open")
+    clusters = stage(members.select("rep").distinct().join(classes, "rep"), "clusters")
+    links = _confirm(stars, _texts_of(stars, docs), percent)
+    open_buckets, placed = _open_buckets(members, clusters, links)
+    asked = open_buckets.select(F.col("rep").alias("doc_id")).distinct()
+    # An id whose rows have several texts has no wide sketch, and is held back by none.
+    wide = docs.join(asked, "doc_id", "left_semi").mapInArrow(lean(_wide_sketches), "rep long, wide array<long>")
+    wide = stage(wide.groupBy("rep").agg(F.collect_list("wide").alias("wide")), "wide")
+    wide = wide.where("size(wide) = 1").select("rep", F.col("wide")[0].alias("wide"))
+    beside = open_buckets.join(placed.select("rep", "n_shingles", "sketch"), "rep").join(wide, "rep")
+    near = functools.reduce(DataFrame.union, [_neighbours(beside, turn, percent) for turn in range(ORDERS)])
+    near = stage(near.distinct(), "near")
+    links = links.union(_confirm(near, _texts_of(near, docs), percent))
+    open_buckets, placed = _open_buckets(members, clusters, links)
     full = placed.select("rep", "n_shingles", "keys", "sketch")
-    rest = open_buckets.join(full, "rep")
+    rest = open_buckets.join(full, "rep").join(wide, "rep", "left")
     outer = rest.where("root <> top").alias("x")
     inner = rest.alias("y")
     earlier = F.array_position(F.col("x.keys"), F.col("x.key")) - 1
@@ -261,6 +355,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .where((F.col("y.root") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
         .where(_sizes_allow("x", "y", percent))
         .where(_sketches_agree("x", "y"))
+        .where(F.coalesce(_sketches_agree("x", "y", "wide"), F.lit(True)))
         .where(
             (earlier == 0)
             | ~F.arrays_overlap(
