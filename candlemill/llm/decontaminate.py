@@ -22,14 +22,24 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlemill.llm.memory import lean
 from candlemill.llm.text import Words, add_columns, free_prefix, mix, pieces, words
+from candlemill.sources.staging import drop_staged, stage
 
 SIMILARITY = 0.8
-# At the limit of edits a pair of 40 words shares a key with probability 0.97, at half of it 0.999.
+# Walks of an item, and one more for every so many of its words: the longer two sequences, the
+# fewer walks keep them together. A walk goes over so many words at most; those of a longer item
+# begin at places spread over it. test_decontamination_recall measures the sum of it.
 WALKS = 32
-SAMPLED = 3
-# Characters of items that one broadcast holds; larger benchmarks are searched part by part.
-BROADCAST_CHARS = 16_000_000
+WORDS_PER_WALK = 8
+WALK_WORDS = 512
+SAMPLED = 2
+# Starts between the ends of a range that are compared; ranges of short items have no more.
+STARTS = 64
+# Cells of a block of windows, walks or words.
+CELLS = 4_000_000
+# Bytes of prepared items that one broadcast holds; larger benchmarks are searched part by part.
+BROADCAST_BYTES = 64_000_000
 # Shorter items are matched word by word only: an edit more would match common phrases.
 LEAST_WORDS = 8
 
@@ -54,50 +64,66 @@ def run_length(n: np.ndarray | int, similarity: float = SIMILARITY) -> np.ndarra
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
-    """Edit distance of two sequences, or limit + 1 where it is larger."""
+    """Edit distance of two sequences, or limit + 1 where it is larger. Only cells near the diagonal count."""
     if abs(len(a) - len(b)) > limit:
         return limit + 1
-    row = np.arange(len(b) + 1)
-    steps = np.arange(len(b) + 1)
+    far = limit + 1
+    # Row i holds the distances of a[:i] to b[:j] for j from i - limit to i + limit.
+    width = 2 * limit + 1
+    place = np.arange(width)
+    row = np.where((place >= limit) & (place - limit <= len(b)), place - limit, far)
+    padded = np.concatenate([np.zeros(limit, np.uint64), b, np.zeros(len(a) + limit + 1, np.uint64)])
+    inside = np.zeros(len(padded), bool)
+    inside[limit : limit + len(b)] = True
     for i, x in enumerate(a, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        new[1:] = np.minimum(row[:-1] + (b != x), row[1:] + 1)
+        # Word j - 1 of b is at limit + j - 1 of the padded words; j = i - limit + place.
+        own = slice(i - 1, i - 1 + width)
+        new = row + ((padded[own] != x) | ~inside[own])
+        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+        j = i - limit + place
+        new[(j < 0) | (j > len(b))] = far
+        if i <= limit:
+            new[limit - i] = i
         # A run of insertions from any place before: the least of value minus place, plus place.
-        row = np.minimum.accumulate(new - steps) + steps
-        if row.min() > limit:
-            return limit + 1
-    return int(min(row[-1], limit + 1))
+        row = np.minimum(np.minimum.accumulate(new - place) + place, far)
+        row[(j < 0) | (j > len(b))] = far
+        if row.min() >= far:
+            return far
+    return int(min(row[len(b) - len(a) + limit], far))
 
 
-def walk_keys(sequences: np.ndarray, lengths: np.ndarray, seed: int) -> np.ndarray:
+def walks_of(n: int) -> int:
+    """Walks of an item of n words."""
+    return WALKS + min(int(n), WALK_WORDS) // WORDS_PER_WALK
+
+
+def walk_keys(sequences: np.ndarray, lengths: np.ndarray, seed: int, walks: int) -> np.ndarray:
     """Keys (sequences, walks) of sequences given as padded rows of hashes.
 
-    Walk r takes up to 2 n steps over n words. Each key is a hash of the words copied at
-    ``SAMPLED`` steps; the steps are drawn from the length alone, so equal lengths sample alike.
+    A walk takes up to 2 n steps over n words. Each key is a hash of the words copied at
+    ``SAMPLED`` steps; the steps and the first word are drawn from the length alone, so equal
+    lengths sample alike.
     """
     count, width = sequences.shape
-    keys = np.zeros((count, WALKS), np.uint64)
-    rows = np.arange(count)
+    keys = np.zeros((count, walks), np.uint64)
+    rows = np.arange(count)[:, None]
     padded = np.concatenate([sequences, np.zeros((count, 1), np.uint64)], axis=1)
-    for r in range(WALKS):
-        salt = mix(np.array([seed * 1000 + r + 1], np.uint64))[0]
+    salt = mix(np.arange(1, walks + 1, dtype=np.uint64) + np.uint64(seed * 100_003))
+    draws = mix(np.arange(1, SAMPLED + 1, dtype=np.uint64)[None, :] * _STEP + salt[:, None])
+    share = np.sort((draws >> np.uint64(11)).astype(np.float64) / float(1 << 53), axis=1)
+    reach = np.minimum(lengths, WALK_WORDS)
+    samples = (share[None] * np.maximum(1.6 * reach, 1)[:, None, None]).astype(np.int64)
+    at = (np.arange(walks)[None, :] * (lengths - reach)[:, None]) // max(walks - 1, 1)
+    ends = lengths[:, None]
+    for step in range(int(samples.max()) + 1 if count else 0):
+        word = np.where(at < ends, padded[rows, np.minimum(at, width)], np.uint64(0))
+        for k in range(SAMPLED):
+            due = samples[:, :, k] == step
+            if due.any():
+                keys[due] = mix(keys[due] * _STEP + word[due] + np.uint64(1))
         with np.errstate(over="ignore"):
-            draws = mix(np.arange(1, SAMPLED + 1, dtype=np.uint64) * _STEP + salt)
-        share = (draws >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-        samples = np.sort((share[None, :] * np.maximum(1.6 * lengths[:, None], 1)).astype(np.int64), axis=1)
-        at, taken = np.zeros(count, np.int64), np.zeros(count, np.int64)
-        for step in range(int(samples.max()) + 1 if count else 0):
-            word = np.where(at < lengths, padded[rows, np.minimum(at, width)], np.uint64(0))
-            while True:
-                due = (taken < SAMPLED) & (samples[rows, np.minimum(taken, SAMPLED - 1)] == step)
-                if not due.any():
-                    break
-                keys[due, r] = mix(keys[due, r] * _STEP + word[due] + np.uint64(1))
-                taken[due] += 1
-            with np.errstate(over="ignore"):
-                bit = mix(word + salt + np.uint64(step) * _STEP) >> np.uint64(63)
-            at += bit.astype(np.int64)
+            turn = salt + np.uint64(step) * _STEP
+        at += (mix(word + turn[None, :]) >> np.uint64(63)).astype(np.int64)
     return keys
 
 
@@ -109,22 +135,26 @@ class Items:
     words: list[np.ndarray]
     lengths: np.ndarray
     edits: np.ndarray
-    keys: np.ndarray
+    keys: list[np.ndarray]
     grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by run length: hash, item, place
 
 
-def make_items(ids: list[int], texts: list[str], similarity: float, seed: int = 1) -> Items:
-    sequences: list[np.ndarray] = []
-    for _, part in pieces(pa.array(texts, pa.string())):
-        w = words(part, between=_BETWEEN)
-        h = w.hashes()
-        sequences += [h[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
-    kept = [i for i, s in enumerate(sequences) if len(s)]
-    sequences, own = [sequences[i] for i in kept], np.array([ids[i] for i in kept], np.int64)
+def embed(texts: pa.Array, seed: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(words, walk keys) of each text."""
+    w = words(texts, between=_BETWEEN)
+    h = w.hashes()
+    out = []
+    for a, b in zip(w.first[:-1], w.first[1:]):
+        own = h[a:b]
+        out.append((own, walk_keys(own[None, :], np.array([b - a]), seed, walks_of(b - a))[0]))
+    return out
+
+
+def make_items(ids: list[int], embedded: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> Items:
+    """Items with words, of those given."""
+    kept = [i for i, (own, _) in enumerate(embedded) if len(own)]
+    sequences = [embedded[i][0] for i in kept]
     lengths = np.array([len(s) for s in sequences], np.int64)
-    padded = np.zeros((len(sequences), lengths.max() if len(lengths) else 1), np.uint64)
-    for i, s in enumerate(sequences):
-        padded[i, : len(s)] = s
     run = run_length(lengths, similarity)
     grams = {}
     for q in np.unique(run):
@@ -134,7 +164,8 @@ def make_items(ids: list[int], texts: list[str], similarity: float, seed: int =
         place = np.concatenate([np.arange(len(g)) for g, _ in found])
         order = np.argsort(value, kind="stable")
         grams[int(q)] = (value[order], item[order], place[order])
-    return Items(own, sequences, lengths, allowed(lengths, similarity), walk_keys(padded, lengths, seed), grams)
+    own_ids = np.array([ids[i] for i in kept], np.int64)
+    return Items(own_ids, sequences, lengths, allowed(lengths, similarity), [embedded[i][1] for i in kept], grams)
 
 
 def _runs(hashes: np.ndarray, q: int) -> np.ndarray:
@@ -147,8 +178,8 @@ def _runs(hashes: np.ndarray, q: int) -> np.ndarray:
     return mix(rolled)
 
 
-def _windows(items: Items, w: Words, hashes: np.ndarray) -> np.ndarray:
-    """Distinct (item, first word) of the windows that share a run with an item, in words of the piece."""
+def _diagonals(items: Items, w: Words, hashes: np.ndarray) -> np.ndarray:
+    """Distinct (document, item, start) at which a shared run would be in its place, in words of the piece."""
     found = []
     doc = w.doc
     for q, (value, item, place) in items.grams.items():
@@ -159,48 +190,70 @@ def _windows(items: Items, w: Words, hashes: np.ndarray) -> np.ndarray:
         left = np.searchsorted(value, own[own_at], "left")
         right = np.searchsorted(value, own[own_at], "right")
         hit = np.flatnonzero(right > left)
-        if not len(hit):
-            continue
+        # A few at a time: a run that is frequent in both makes many, most of them on one diagonal.
         times = right[hit] - left[hit]
-        entry = np.repeat(left[hit], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        at = np.repeat(own_at[hit], times)
-        i = item[entry]
-        shift = items.edits[i]
-        wide = 2 * shift + 1
-        start = np.repeat(at - place[entry] - shift, wide) + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
-        i, at = np.repeat(i, wide), np.repeat(at, wide)
-        first = w.first[doc[at]]
-        start = np.maximum(start, first)
-        found.append(np.unique(np.stack([i, start], axis=1), axis=0))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        for part in np.array_split(np.arange(len(hit)), 1 + int(times.sum()) // CELLS):
+            if not len(part):
+                continue
+            n = times[part]
+            entry = np.repeat(left[hit[part]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(own_at[hit[part]], n)
+            found.append(np.unique(np.stack([doc[at], item[entry], at - place[entry]], axis=1), axis=0))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+
+
+def _starts(first: int, stop: int, diagonals: np.ndarray, edits: int) -> list[np.ndarray]:
+    """Starts to compare, in two rounds: on the diagonals, then up to ``edits`` around them.
+
+    Ranges around diagonals are joined before they are spread. Of a range as long as twice
+    ``STARTS`` and more only every so many starts are taken.
+    """
+    near = np.unique(np.clip(diagonals, first, max(stop - 1, first)))
+    step = max(1, edits // STARTS)
+    low = np.maximum(near - edits, first)
+    high = np.minimum(near + edits, max(stop - 1, first))
+    new = np.ones(len(near), bool)
+    new[1:] = low[1:] > high[:-1]
+    ends = np.append(np.flatnonzero(new)[1:], len(near)) - 1
+    around = np.concatenate([np.arange(a, b + 1, step) for a, b in zip(low[new], high[ends])])
+    return [near, np.setdiff1d(around, near)]
+
+
+def _alike(items: Items, i: int, hashes: np.ndarray, starts: np.ndarray, stop: int, seed: int) -> np.ndarray:
+    """The starts whose window shares a key with item i."""
+    n, walks = int(items.lengths[i]), len(items.keys[i])
+    out = []
+    for part in np.array_split(starts, 1 + len(starts) * max(n, walks) // CELLS):
+        at = part[:, None] + np.arange(n)[None, :]
+        rows = np.where(at < stop, hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
+        keys = walk_keys(rows, np.full(len(part), n), seed, walks)
+        out.append(part[(keys == items.keys[i][None, :]).any(axis=1)])
+    return np.concatenate(out)
 
 
 def _search(items: Items, texts: pa.Array, seed: int) -> list[tuple[int, int, int, int, int]]:
     """(document, item, first word, words, edits) of the best window of each item in each document."""
     w = words(texts, between=_BETWEEN)
     hashes = w.hashes()
-    windows = _windows(items, w, hashes)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    doc_of = w.doc
-    for part in range(0, len(windows), 20_000):
-        item, start = windows[part : part + 20_000].T
-        doc = doc_of[start]
-        stop = np.minimum(start + items.lengths[item], w.first[doc + 1])
-        lengths = items.lengths[item]
-        width = int(lengths.max()) if len(lengths) else 1
-        at = start[:, None] + np.arange(width)[None, :]
-        rows = np.where(at < stop[:, None], hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
-        alike = (walk_keys(rows, lengths, seed) == items.keys[item]).any(axis=1)
-        for k in np.flatnonzero(alike):
-            i, limit = int(item[k]), int(items.edits[item[k]])
-            pair = (int(doc[k]), i)
-            if pair in best and best[pair][0] == 0:
-                continue
-            edits = edit_distance(items.words[i], hashes[start[k] : stop[k]], limit)
-            found = (edits, int(start[k] - w.first[doc[k]]), int(stop[k] - start[k]))
-            if edits <= limit and (pair not in best or found < best[pair]):
-                best[pair] = found
-    return [(d, i, s, n, e) for (d, i), (e, s, n) in sorted(best.items())]
+    near = _diagonals(items, w, hashes)
+    cuts = np.flatnonzero((near[1:, :2] != near[:-1, :2]).any(axis=1)) + 1 if len(near) else []
+    out = []
+    for group in np.split(near, cuts) if len(near) else ():
+        doc, i = int(group[0, 0]), int(group[0, 1])
+        first, stop = int(w.first[doc]), int(w.first[doc + 1])
+        n, limit = int(items.lengths[i]), int(items.edits[i])
+        best = (limit + 1, 0, 0)
+        for starts in _starts(first, stop, group[:, 2], limit):
+            if best[0] == 0 or not len(starts):
+                break
+            for start in _alike(items, i, hashes, starts, stop, seed).tolist():
+                end = min(start + n, stop)
+                # An equal or a better one only: the limit falls.
+                edits = edit_distance(items.words[i], hashes[start:end], min(limit, best[0]))
+                best = min(best, (edits, start - first, end - start))
+        if best[0] <= limit:
+            out.append((doc, i, best[1], best[2], best[0]))
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seed: int = 1) -> DataFrame:
@@ -210,15 +263,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     edits of it; items of fewer than ``LEAST_WORDS`` words have to occur as they are. One row per
     pair, the window with fewest edits, the first of them. Words are numbered as runs of letters
     and digits. Null or empty texts hold nothing and items without words are nowhere; rows that
-    repeat an id give the best of them, null ids of documents count as one.
+    repeat an id give the best of them, null ids of documents count as one. Of items whose limit
+    is ``STARTS`` edits and more, every so many starts around a shared run are compared.
 
-    The items are broadcast in parts of at most ``BROADCAST_CHARS`` characters.
+    Items are embedded by tasks and broadcast in parts of about ``BROADCAST_BYTES``; a part is
+    searched for, its rows are written and it is let go before the next.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = None
-    for shared in _broadcast_items(benchmark, similarity, seed):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def hits(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = shared.value
             for batch in batches:
                 ids = batch.column("doc_id")
@@ -235,35 +289,64 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
                         names=["doc_id", "item_id", "start_word", "n_words", "edits"],
                     )
 
-        hits = rows.mapInArrow(run, FOUND)
-        out = hits if out is None else out.union(hits)
+        return rows.mapInArrow(lean(run), FOUND)
+
+    out = None
+    for shared, more in _parts(benchmark, similarity, seed):
+        found = hits(shared)
+        if more or out is not None:
+            found = stage(found, "hits")
+            shared.destroy()
+        out = found if out is None else out.union(found)
     best = F.min(F.struct("edits", "start_word", "n_words")).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "best.start_word", "best.n_words", "best.edits"
     )
 
 
-def _broadcast_items(benchmark: DataFrame, similarity: float, seed: int) -> list[Broadcast]:
-    """The benchmark, prepared, in broadcasts of a bounded size; one empty one where it has no rows."""
+def _parts(benchmark: DataFrame, similarity: float, seed: int) -> Iterator[tuple[Broadcast, bool]]:
+    """The benchmark, prepared, in broadcasts of a bounded size, and whether another follows.
+
+    One empty one where it has no rows. Next to the bound a part holds one item at least.
+    """
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).where("item_id IS NOT NULL AND text IS NOT NULL")
-    chars = items.agg(F.coalesce(F.sum(F.length("text") + 16), F.lit(0))).first()[0]
-    parts = 1 if chars <= BROADCAST_CHARS else -(-2 * chars // BROADCAST_CHARS)
-    out = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, texts in pieces(batch.column("text")):
+                found = embed(texts, seed)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("item_id").slice(row, len(texts)),
+                        pa.array([own.tobytes() for own, _ in found], pa.binary()),
+                        pa.array([keys.tobytes() for _, keys in found], pa.binary()),
+                    ],
+                    names=["item_id", "words", "keys"],
+                )
+
+    embedded = stage(items.mapInArrow(lean(run), "item_id long, words binary, keys binary"), "items")
+    total = embedded.agg(F.coalesce(F.sum(F.length("words") + F.length("keys") + 64), F.lit(0))).first()[0]
+    parts = 1 if total <= BROADCAST_BYTES else -(-2 * total // BROADCAST_BYTES)
     for part in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
-        listed = sorted((r[0], r[1]) for r in own.collect())  # about half of BROADCAST_CHARS
-        made = make_items([r[0] for r in listed], [r[1] for r in listed], similarity, seed)
-        out.append(benchmark.sparkSession.sparkContext.broadcast(made))
-    return out
+        own = embedded.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(parts)) == part)
+        listed = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in own.collect())  # half of the bound, about
+        arrays = [(np.frombuffer(x, np.uint64), np.frombuffer(k, np.uint64)) for _, x, k in listed]
+        made = make_items([r[0] for r in listed], arrays, similarity)
+        yield benchmark.sparkSession.sparkContext.broadcast(made), part + 1 < parts
+    drop_staged(embedded)
 
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seed: int = 1
 ) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item. All columns are kept; nothing is shuffled."""
-    for shared in _broadcast_items(benchmark, similarity, seed):
+    """``docs`` without the rows that hold a benchmark item, as ``contaminated`` finds them.
+
+    All columns are kept, repeated rows and rows without an id too; nothing is shuffled. A
+    benchmark of several parts has the documents left by each written before the next.
+    """
+    for shared, more in _parts(benchmark, similarity, seed):
 
         def compute(texts: pa.Array, shared=shared) -> list[pa.Array]:
             leaks = np.zeros(len(texts), bool)
@@ -272,4 +355,7 @@ def decontaminate(
 
         name = f"{free_prefix(docs)}leaks"
         docs = add_columns(docs, compute, f"{name} boolean").where(~F.col(name)).drop(name)
+        if more:
+            docs = stage(docs, "clean")
+            shared.destroy()
     return docs
