@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from candlemill.llm.memory import lean
 from candlemill.llm.text import pieces
 
 PERIODS = 4
@@ -257,7 +258,7 @@ def periodic_runs(docs: DataFrame, change: Callable[[int | None, list[bytes]], l
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, StructType.fromDDL(RUNS))
+    return rows.mapInArrow(lean(run), StructType.fromDDL(RUNS))
 
 
 def digest(runs: DataFrame) -> DataFrame:

@@ -14,9 +14,11 @@ from candlemill.sources.staging import stage
 
 
 def ordered(df: DataFrame, order: list[str]) -> DataFrame:
-    """``df`` dealt to partitions by ranges of ``order`` and sorted in each."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    """``df`` dealt to partitions by ranges of ``order`` and sorted in each.
+
+    Their number is left to adaptive execution, which joins small neighbours and keeps the order.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def counted(df: DataFrame, order: list[str], flag: str) -> DataFrame:

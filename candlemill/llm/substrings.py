@@ -7,11 +7,11 @@ whole token at least. A token that occurs once is in no repeated string, so only
 tokens that occur again are sorted.
 
 Suffixes of tokens are sorted by the difference cover of 3: triples at places 1 and 2 of every
-three are sorted and named, their order is found by recursion on the names, until equal names are
-as long as a repeated string has to be, and the remaining third, sorted by its first token and the
-place of the suffix behind it, is merged in: each suffix's place is its place in its own order plus
-the number of the others before it, which two sorts with plain keys give. Adjacent suffixes with an
-equal prefix of whole tokens and 400 bytes or more are repeated.
+three are sorted and named, their order is found by recursion on those names that are neither the
+only ones nor as long as a repeated string has to be, and the remaining third, sorted by its first
+token and the place of the suffix behind it, is merged in: each suffix's place is its place in its
+own order plus the number of the others before it, which two sorts with plain keys give. Adjacent
+suffixes with an equal prefix of whole tokens and 400 bytes or more are repeated.
 
 What that leaves open are strings that begin or end within a token at the end of a repeated
 stretch. These remaining suffixes, which start between two cuts, are merged with one each of the
@@ -32,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from candlemill.llm.memory import at_end, lean
 from candlemill.llm.sorting import counted, ordered, paired
 from candlemill.llm.text import _BYTE, mix, pieces
 from candlemill.sources.staging import drop_staged, stage
@@ -42,6 +43,8 @@ PLACES = 160
 # A string's windows of places start at its bytes 0 to LAST.
 LAST = LENGTH - SEED - PLACES + 1
 
+# Equal names of so many bytes need no order: a string of each start in a first token is in them.
+REACH = LENGTH + PLACES
 # Strings compared at once.
 NEAR = 16
 
@@ -68,7 +71,8 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(tables)
 
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_tables: dict[int | str, tuple[np.ndarray, np.ndarray]] = {}
+at_end(_tables.clear)
 
 
 def byte_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray, base: int = 0) -> np.ndarray:
@@ -90,9 +94,11 @@ def byte_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray, base: int
 
 def run_hashes(tokens: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Hashes of runs [first, stop) of tokens."""
-    power, inverse = _powers(_BASES[1], len(tokens) + 1)
+    if "runs" not in _tables or len(_tables["runs"][0]) <= len(tokens):
+        _tables["runs"] = _powers(_BASES[1], 2 * len(tokens) + 1024)
+    power, inverse = _tables["runs"]
     sums = np.zeros(len(tokens) + 1, np.uint64)
-    np.cumsum(mix(tokens) * power[:-1], out=sums[1:])
+    np.cumsum(mix(tokens) * power[: len(tokens)], out=sums[1:])
     return mix((sums[stop] - sums[first]) * inverse[first])
 
 
@@ -214,30 +220,43 @@ def _batch(columns: list[list[np.ndarray]], ddl: str) -> pa.RecordBatch:
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes of the stretches of shared tokens that are long enough for a repeated string."""
+    """Suffixes of the stretches of shared tokens that are long enough for a repeated string.
+
+    A token that repeats itself, as it does in one letter or word over and over, is one symbol with
+    the times that it stands there, or the names of such stretches would never be done. What
+    starts within is left open.
+    """
     for batch in batches:
         sids = batch.column("sid").to_pylist()
         columns: list[list[np.ndarray]] = [[] for _ in range(9)]
         for k, text in _each(batch):
             edges = np.flatnonzero(np.diff(np.concatenate([[False], text.shared, [False]]).astype(np.int8)))
             for x, y in edges.reshape(-1, 2):
-                place = text.cuts[x : y + 1]
-                if place[-1] - place[0] < LENGTH:
+                if text.cuts[y] - text.cuts[x] < LENGTH:
                     continue
-                own = np.arange(y - x)
-                tokens = np.concatenate([text.tokens[x:y].view(np.int64), [0, 0, 0]])
-                last = np.searchsorted(place, place[:-1] + LENGTH)
-                whole = last <= y - x
-                prints = run_hashes(text.tokens[x:y], own, np.minimum(last, y - x)).view(np.int64)
+                alike = text.tokens[x:y]
+                head = np.flatnonzero(np.append(True, alike[1:] != alike[:-1]))
+                times = np.diff(np.append(head, y - x)).astype(np.uint64)
+                symbols = np.where(times > 1, mix(alike[head] + times), alike[head])
+                place = text.cuts[np.append(x + head, y)]
+                n = len(head)
+                own = np.arange(n)
+                # The tokens that hold all strings that start in the first, or one at least.
+                last = np.searchsorted(place, place[1:] - 1 + LENGTH)
+                short = np.searchsorted(place, place[:-1] + LENGTH)
+                last = np.where((last <= n) & (place[1:] - place[:-1] <= PLACES), last, short)
+                whole = last <= n
+                prints = run_hashes(symbols, own, np.minimum(last, n)).view(np.int64)
+                tokens = np.concatenate([symbols.view(np.int64), [0, 0, 0]])
                 row = [
-                    np.full(y - x, sids[k]),
+                    np.full(n, sids[k]),
                     x + own,
                     tokens[own],
                     tokens[own + 1],
                     tokens[own + 2],
                     place[:-1],
-                    place[np.minimum(own + 3, y - x)],
-                    np.where(whole, place[np.minimum(last, y - x)], -1),
+                    place[np.minimum(own + 3, n)],
+                    np.where(whole, place[np.minimum(last, n)], -1),
                     prints,
                 ]
                 for column, values in zip(columns, row):
@@ -245,21 +264,17 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(columns, SUFFIXES)
 
 
-def name_triples(suffixes: DataFrame) -> tuple[DataFrame, bool]:
-    """Names of the triples at places 1 and 2 of three, in their order, and whether they decide.
+def name_triples(suffixes: DataFrame) -> DataFrame:
+    """Names of the triples at places 1 and 2 of three, in their order: (s, s1, s2, name, done).
 
-    They do if equal ones all reach ``LENGTH`` bytes or the end of their stretch.
+    A name is done if it occurs once, reaches ``REACH`` bytes or reaches the end of its stretch.
     """
     triples = (
         suffixes.where("i % 3 <> 0")
         .groupBy("s", "s1", "s2")
-        .agg(F.count("*").alias("n"), F.min(F.col("e3") - F.col("b")).alias("reach"))
+        .agg((F.expr(f"count(*) = 1 OR min(e3 - b) >= {REACH}") | (F.col("s2") == 0)).alias("done"))
     )
-    names = stage(
-        ordered(triples, ["s", "s1", "s2"]).withColumn("name", F.monotonically_increasing_id() + 1), "names"
-    )
-    undecided = names.where(f"n > 1 AND s2 <> 0 AND reach < {LENGTH}").limit(1).count()
-    return names, not undecided
+    return stage(ordered(triples, ["s", "s1", "s2"]).withColumn("name", F.monotonically_increasing_id() + 1), "names")
 
 
 def suffix_ranks(suffixes: DataFrame) -> DataFrame:
@@ -267,39 +282,50 @@ def suffix_ranks(suffixes: DataFrame) -> DataFrame:
 
     A suffix starts with symbol s at place i of string sid, followed by s1 and s2; 0 is the end.
     It starts at byte b, and its first three symbols end before e3. Suffixes that are equal for
-    ``LENGTH`` bytes, or to their ends, may have the same rank; none is between them.
+    ``REACH`` bytes, or to their ends, come in any order; no other is between them.
     """
-    names, decided = name_triples(suffixes)
-    named = suffixes.where("i % 3 <> 0").join(names.select("s", "s1", "s2", "name"), ["s", "s1", "s2"])
-    if decided:
-        known = named.select("sid", "i", F.col("name").alias("known"))
-    else:
-        # The names at places 1, then those at places 2, with a gap between.
-        base = suffixes.agg(F.max("i")).first()[0] // 3 + 2
-        place = F.expr(f"i div 3 + if(i % 3 = 1, 0, {base})")
-        shorter = stage(named.select("sid", place.alias("i"), F.col("name").alias("s"), "b", F.col("e3").alias("e")), "shorter")
-        by_text = W.partitionBy("sid").orderBy("i")
-        one, two = F.lead("i", 1).over(by_text) == F.col("i") + 1, F.lead("i", 2).over(by_text) == F.col("i") + 2
-        inner = stage(
-            shorter.select(
-                "sid",
-                "i",
-                "s",
-                F.when(one, F.lead("s", 1).over(by_text)).otherwise(0).alias("s1"),
-                F.when(two, F.lead("s", 2).over(by_text)).otherwise(0).alias("s2"),
-                "b",
-                F.when(two, F.lead("e", 2).over(by_text)).otherwise(F.col("e")).alias("e3"),
-            ),
-            "inner",
-        )
-        drop_staged(shorter)
-        place = F.expr(f"if(i < {base}, 3 * i + 1, 3 * (i - {base}) + 2)")
-        known = suffix_ranks(inner).select("sid", place.alias("i"), F.col("rank").alias("known"))
-    return merge(suffixes, known)
+    names = name_triples(suffixes)
+    named = suffixes.where("i % 3 <> 0").join(names, ["s", "s1", "s2"]).select("sid", "i", "name", "done", "b", "e3")
+    if not names.where("NOT done").limit(1).count():
+        return merge(suffixes, named.select("sid", "i", "name", F.lit(0).cast("long").alias("finer")))
+    # The names at places 1, then those at places 2, with a gap between. A name that is done ends
+    # a string: only names that are not, and those right behind them, go on.
+    base = suffixes.agg(F.max("i")).first()[0] // 3 + 2
+    place = F.expr(f"i div 3 + if(i % 3 = 1, 0, {base})")
+    named = stage(named.select("sid", place.alias("i"), F.col("name").alias("s"), "done", "b", F.col("e3").alias("e")), "named")
+    by_text = W.partitionBy("sid").orderBy("i")
+    behind = (F.lag("i").over(by_text) == F.col("i") - 1) & ~F.lag("done").over(by_text)
+    shorter = named.withColumn("behind", F.coalesce(behind, F.lit(False))).where("behind OR NOT done")
+    one, two = F.lead("i", 1).over(by_text) == F.col("i") + 1, F.lead("i", 2).over(by_text) == F.col("i") + 2
+    inner = stage(
+        shorter.select(
+            "sid",
+            "i",
+            "s",
+            F.when(one, F.lead("s", 1).over(by_text)).otherwise(0).alias("s1"),
+            F.when(two, F.lead("s", 2).over(by_text)).otherwise(0).alias("s2"),
+            "b",
+            F.when(two, F.lead("e", 2).over(by_text)).otherwise(F.col("e")).alias("e3"),
+        ),
+        "inner",
+    )
+    ranks = suffix_ranks(inner)
+    drop_staged(inner)
+    finer = F.when(F.col("done"), 0).otherwise(F.coalesce("rank", F.lit(0)))
+    place = F.expr(f"if(i < {base}, 3 * i + 1, 3 * (i - {base}) + 2)")
+    known = named.join(ranks, ["sid", "i"], "left").select("sid", place.alias("i"), F.col("s").alias("name"), finer.alias("finer"))
+    merged = merge(suffixes, known)
+    drop_staged(ranks)
+    drop_staged(named)
+    drop_staged(names)
+    return merged
 
 
 def merge(suffixes: DataFrame, known: DataFrame) -> DataFrame:
-    """Ranks of all suffixes from those ``known (sid, i, known)`` at places 1 and 2 of three."""
+    """Ranks of all suffixes from the order ``known (sid, i, name, finer)`` of those at places 1 and 2 of three."""
+    own = ["sid", "i"]
+    sampled = counted(known.withColumn("third", F.lit(False)), ["name", "finer", *own], "third")
+    sampled = sampled.select(*own, (F.col("before") + 1).alias("known"))
     by_text = W.partitionBy("sid").orderBy("i")
 
     def behind(k: int):
@@ -307,22 +333,20 @@ def merge(suffixes: DataFrame, known: DataFrame) -> DataFrame:
         return F.coalesce(F.when(there, F.lead("known", k).over(by_text)), F.lit(0))
 
     rows = stage(
-        suffixes.select("sid", "i", "s", "s1")
-        .join(known, ["sid", "i"], "left")
-        .select("sid", "i", "s", "s1", "known", behind(1).alias("r1"), behind(2).alias("r2")),
+        suffixes.select(*own, "s", "s1")
+        .join(sampled, own, "left")
+        .select(*own, "s", "s1", "known", behind(1).alias("r1"), behind(2).alias("r2")),
         "known",
     )
     third = (F.col("i") % 3 == 0).alias("third")
-    own = ["sid", "i"]
     # Each sort has the suffixes of a place, or two, of three: who is before whom is known there.
     near = counted(rows.where("i % 3 <> 2").select(*own, "s", "r1", third), ["s", "r1", *own], "third")
     far = counted(rows.where("i % 3 <> 1").select(*own, "s", "s1", "r2", third), ["s", "s1", "r2", *own], "third")
-    sampled = counted(rows.where("i % 3 <> 0").select(*own, "known", third), ["known", *own], "third")
     others = F.col("before") - F.col("flags_before")
     places = (
         near.select(*own, F.when(F.col("third"), F.col("before")).otherwise(F.col("flags_before")).alias("n"))
         .union(far.select(*own, F.when(F.col("third"), others).otherwise(F.col("flags_before")).alias("n")))
-        .union(sampled.select(*own, F.col("before").alias("n")))
+        .union(rows.where("known IS NOT NULL").select(*own, (F.col("known") - 1).alias("n")))
     )
     ranks = stage(places.groupBy(*own).agg((F.sum("n") + 1).alias("rank")), "ranks")
     for used in (rows, near, far, sampled):
@@ -389,59 +413,56 @@ def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return of, first[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(sid, bytes, ranges) of each row; the columns of ranges are their fields."""
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]:
+    """Bytes of a piece, the offsets of its texts, and the ranges of all with their text's number and sid."""
     for batch in batches:
-        sids, ranges = batch.column("sid").to_pylist(), batch.column("ranges").to_pylist()
+        sids, column = batch.column("sid").to_numpy(), batch.column("ranges")
+        ends, values = column.offsets.to_numpy(), column.values
+        fields = {f.name: values.field(f.name).to_numpy(zero_copy_only=False).astype(np.int64) for f in values.type}
         for row, texts in pieces(batch.column("text")):
             data, offsets = _bytes(texts)
-            for k in range(len(texts)):
-                listed = np.array(sorted(tuple(r.values()) for r in ranges[row + k]), np.int64)
-                yield sids[row + k], data[offsets[k] : offsets[k + 1]], listed
+            own = slice(ends[row], ends[row + len(texts)])
+            of = np.repeat(np.arange(len(texts)), np.diff(ends[row : row + len(texts) + 1]))
+            ranges = {name: x[own] for name, x in fields.items()}
+            yield data, offsets, ranges | {"of": of, "sid": sids[row + of]}
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges by ``NEAR`` strings, with hashes of what is in each of the strings and of what holds all."""
-    for sid, own, ranges in _texts(batches):
-        start, stop, open_, cut_ = ranges.T
-        least = (cut_ - stop + 1) // NEAR
-        of, k = _spread(least, (cut_ - start) // NEAR - least + 1)
-        at = cut_[of] - NEAR * k - (NEAR - 1)
-        order = np.lexsort((-open_[of], k, at))
-        of, k, at = of[order], k[order], at[order]
-        inner = byte_hashes(own, at + NEAR - 1, at + LENGTH)
+    for data, offsets, ranges in _texts(batches):
+        least = (ranges["cut"] - ranges["stop"] + 1) // NEAR
+        of, k = _spread(least, (ranges["cut"] - ranges["start"]) // NEAR - least + 1)
+        sid, start, stop, open_, text = (ranges[n][of] for n in ("sid", "start", "stop", "open", "of"))
+        at = ranges["cut"][of] - NEAR * k - (NEAR - 1)
+        order = np.lexsort((-open_, k, at, text))
+        sid, start, stop, open_, text, k, at = (x[order] for x in (sid, start, stop, open_, text, k, at))
+        first = at + offsets[text]
+        inner = byte_hashes(data, first + NEAR - 1, first + LENGTH)
         # Of ranges of the same sixteen only one stands for them, or they would be adjacent.
         alone = np.ones(len(at), bool)
-        alone[1:] = (at[1:] != at[:-1]) | (k[1:] != k[:-1])
-        whole = np.flatnonzero(alone & (at >= 0) & (at + NEAR - 1 + LENGTH <= len(own)))
+        alone[1:] = (at[1:] != at[:-1]) | (k[1:] != k[:-1]) | (text[1:] != text[:-1])
+        inside = (at >= 0) & (first + NEAR - 1 + LENGTH <= offsets[text + 1])
+        whole = np.flatnonzero(alone & inside)
         # The distance to the next cut is a part of the hash: two cuts of a text may count a place.
         salt = mix(k.astype(np.uint64) + np.uint64(1))
-        outer = [np.full(len(at), sid, np.uint64), (-1 - np.maximum(at, start[of])).astype(np.uint64)]
+        start, stop = np.maximum(at, start), np.minimum(at + NEAR, stop)
+        outer = [sid.astype(np.uint64), (-1 - start).astype(np.uint64)]
         for base in (0, 1):
-            found = byte_hashes(own, at[whole], at[whole] + NEAR - 1 + LENGTH, base)
+            found = byte_hashes(data, first[whole], first[whole] + NEAR - 1 + LENGTH, base)
             outer[base][whole] = mix(found ^ salt[whole])
-        yield _batch(
-            [
-                [np.full(len(at), sid)],
-                [at],
-                [np.maximum(at, start[of])],
-                [np.minimum(at + NEAR, stop[of])],
-                [open_[of].astype(bool)],
-                [mix(inner ^ salt).view(np.int64)],
-                [outer[0].view(np.int64)],
-                [outer[1].view(np.int64)],
-            ],
-            BLOCKS,
-        )
+        hashes = [x.view(np.int64) for x in (mix(inner ^ salt), *outer)]
+        yield _batch([[x] for x in (sid, at, start, stop, open_.astype(bool), *hashes)], BLOCKS)
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two hashes of each string in a text's ranges."""
-    for sid, own, ranges in _texts(batches):
-        start, stop, open_ = ranges.T
-        of, at = _spread(start, stop - start)
-        prints = [[byte_hashes(own, at, at + LENGTH, base).view(np.int64)] for base in (0, 1)]
-        yield _batch([[np.full(len(at), sid)], [at], [open_[of].astype(bool)], *prints], PRINTS)
+    """Two hashes of each string in the ranges of texts."""
+    for data, offsets, ranges in _texts(batches):
+        of, at = _spread(ranges["start"], ranges["stop"] - ranges["start"])
+        order = np.lexsort((at, ranges["of"][of]))
+        of, at = of[order], at[order]
+        first = at + offsets[ranges["of"][of]]
+        prints = [byte_hashes(data, first, first + LENGTH, base).view(np.int64) for base in (0, 1)]
+        yield _batch([[ranges["sid"][of]], [at], [ranges["open"][of].astype(bool)], *[[x] for x in prints]], PRINTS)
 
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
@@ -451,7 +472,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     are one here and their whole text is repeated. Texts without spans have no row. Spans may
     overlap.
     """
-    cuts = docs.select("k1", "k2", "text").mapInArrow(_cuts, CUTS.removeprefix("sid long, "))
+    cuts = docs.select("k1", "k2", "text").mapInArrow(lean(_cuts), CUTS.removeprefix("sid long, "))
     cuts = stage(cuts.withColumn("sid", F.monotonically_increasing_id()), "cuts")
     same = cuts.groupBy("k1", "k2").agg(F.min("sid").alias("least"), F.count("*").alias("rows"), F.first("n_bytes").alias("n"))
     same = stage(same.where("rows > 1"), "same")
@@ -465,7 +486,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     places = tokens.join(shared, "token", "left_semi").groupBy("sid").agg(F.collect_list("at").alias("shared"))
     work = stage(texts.join(places, "sid"), "work")
 
-    suffixes = stage(work.mapInArrow(_suffixes, SUFFIXES), "suffixes")
+    suffixes = stage(work.mapInArrow(lean(_suffixes), SUFFIXES), "suffixes")
     if suffixes.limit(1).count():
         ranks = suffix_ranks(suffixes)
         long = suffixes.where("stop >= 0").select("sid", "i", "b", "stop", "print").join(ranks, ["sid", "i"])
@@ -477,7 +498,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
 
     # The remaining suffixes: open ones, and one each of the repeated ones with the same token.
     proven = repeated.groupBy("sid").agg(F.collect_list(F.struct("b", "stop")).alias("proven"))
-    strings = stage(work.join(proven, "sid", "left").mapInArrow(_strings, STRINGS), "strings")
+    strings = stage(work.join(proven, "sid", "left").mapInArrow(lean(_strings), STRINGS), "strings")
     open_ = strings.where("open")
     sure = (
         strings.where("NOT open")
@@ -496,7 +517,8 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
         listed = ranges.groupBy("sid").agg(F.collect_list(F.struct(*ranges.columns[1:])).alias("ranges"))
         return asked.join(listed.join(keys, "sid"), ["k1", "k2"]).select("sid", "text", "ranges")
 
-    by_sixteen = with_texts(open_.select(*fields).union(sure.select(*fields))).mapInArrow(_blocks, BLOCKS)
+    by_sixteen = with_texts(open_.select(*fields).union(sure.select(*fields))).mapInArrow(lean(_blocks), BLOCKS)
+    by_sixteen = stage(by_sixteen, "sixteen")  # the order takes a sample first
     blocks = paired(by_sixteen, ["o1", "o2", "sid", "at"], ["o1", "o2"]).withColumn("asks", F.expr("open AND NOT paired"))
     inner = blocks.groupBy("inner").agg(F.count("*").alias("n"), F.bool_or("asks").alias("asked"))
     members = blocks.join(inner.where("n > 1 AND asked").select("inner"), "inner", "left_semi")
@@ -507,7 +529,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
         .select("one.*", F.lit(False).alias("open"))
     )
     single = members.where("asks").select("sid", "start", "stop", "open").union(known)
-    found = with_texts(single).mapInArrow(_prints, PRINTS)
+    found = stage(with_texts(single).mapInArrow(lean(_prints), PRINTS), "prints")
     more = paired(found, ["f1", "f2", "sid", "at"], ["f1", "f2"]).where("paired AND open")
 
     by_sid = (
@@ -579,7 +601,7 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
                 )
 
     joined = keyed.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(run, StructType.fromDDL(f"doc_id long, n_bytes long, spans {SPANS}, kept binary"))
+    return joined.mapInArrow(lean(run), StructType.fromDDL(f"doc_id long, n_bytes long, spans {SPANS}, kept binary"))
 
 
 def digest(removed: DataFrame) -> DataFrame:

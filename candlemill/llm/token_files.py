@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from candlemill.llm.memory import lean
 from candlemill.llm.text import pieces
 from candlemill.llm.vocabularies import PIECE_BYTES, WORD_BPE, encoder
 
@@ -54,7 +55,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int =
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return ordered.mapInArrow(run, SCHEMA)
+    return ordered.mapInArrow(lean(run), SCHEMA)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str = WORD_BPE, end_id: int = END_ID) -> None:
@@ -102,7 +103,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
 
     files = read_tokens(spark, path).withColumn("file", F.input_file_name())
     rows = files.select("file", "pos", "doc_id", "ids").mapInArrow(
-        run, "file string, pos int, doc_id long, n_tokens long, ids_crc32 long"
+        lean(run), "file string, pos int, doc_id long, n_tokens long, ids_crc32 long"
     )
     # The lengths alone give the sums by file; a row for each file is put in order.
     by_file = files.groupBy("file").agg(F.sum("n_tokens").alias("tokens"), F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("nulls"))

@@ -21,7 +21,7 @@ from candlemill.llm.text import Words, byte_table, pieces, words
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 # Words that each of a worker's two generations remembers, some 150 bytes a word.
-REMEMBER = 300_000
+REMEMBER = 150_000
 # Bytes of text whose distinct words are looked up together.
 PIECE_BYTES = 2_000_000
 
