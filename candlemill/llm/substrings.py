@@ -466,11 +466,10 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
-    """(k1, k2, spans): bytes [start, stop) of texts in strings of ``LENGTH`` bytes that start elsewhere too.
+    """(k1, k2, spans): maximal bytes [start, stop) of texts in strings of ``LENGTH`` bytes that start elsewhere too.
 
     ``docs`` has k1 and k2, which tell different (doc_id, text) apart, and text. Rows equal in both
-    are one here and their whole text is repeated. Texts without spans have no row. Spans may
-    overlap.
+    are one here and their whole text is repeated. Texts without spans have no row.
     """
     cuts = docs.select("k1", "k2", "text").mapInArrow(lean(_cuts), CUTS.removeprefix("sid long, "))
     cuts = stage(cuts.withColumn("sid", F.monotonically_increasing_id()), "cuts")
@@ -539,22 +538,31 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     )
     all_spans = by_sid.join(keys, "sid").select("k1", "k2", "start", "stop")
     whole = same.where(f"n >= {LENGTH}").select("k1", "k2", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop"))
-    return stage(
-        all_spans.union(whole).groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")),
-        "spans",
-    )
+    listed = all_spans.union(whole).groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    return stage(listed.mapInArrow(lean(_maximal), f"k1 long, k2 long, spans {SPANS}"), "spans")
 
 
-def join_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal spans of those given in order, touching ones joined."""
-    out: list[tuple[int, int]] = []
-    for start, stop in spans:
-        if out and start <= out[-1][1]:
-            if stop > out[-1][1]:
-                out[-1] = (out[-1][0], stop)
-        else:
-            out.append((start, stop))
-    return out
+def _maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (k1, k2, spans) with the spans joined to maximal ones."""
+    for batch in batches:
+        column = batch.column("spans")
+        ends = column.offsets.to_numpy()
+        own = slice(ends[0], ends[-1])
+        start, stop = (column.values.field(n).to_numpy()[own] for n in ("start", "stop"))
+        row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+        # Spans come by start; one begins anew behind all stops before it in its row.
+        shift = row * (int(stop.max()) + 1 if len(stop) else 1)
+        reach = np.maximum.accumulate(stop + shift)
+        new = np.ones(len(start), bool)
+        new[1:] = (start[1:] + shift[1:] > reach[:-1]) | (row[1:] != row[:-1])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(start)) - 1
+        struct = pa.StructArray.from_arrays([pa.array(start[head]), pa.array((reach - shift)[tail])], ["start", "stop"])
+        counts = np.bincount(row[head], minlength=batch.num_rows)
+        offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("k1"), batch.column("k2"), pa.ListArray.from_arrays(offsets, struct)], names=["k1", "k2", "spans"]
+        )
 
 
 def remove_repeated(docs: DataFrame) -> DataFrame:
@@ -582,7 +590,7 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
             for row, texts in pieces(batch.column("text")):
                 counts, flat, ends, kept = [], [], [0], []
                 for k, text in enumerate(texts.cast(pa.large_binary()).to_pylist()):
-                    own = join_spans([(s["start"], s["stop"]) for s in listed[row + k] or ()])
+                    own = [(s["start"], s["stop"]) for s in listed[row + k]]
                     counts.append(len(text))
                     flat += own
                     ends.append(len(flat))
@@ -600,8 +608,13 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n_bytes", "spans", "kept"],
                 )
 
-    joined = keyed.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(lean(run), StructType.fromDDL(f"doc_id long, n_bytes long, spans {SPANS}, kept binary"))
+    cut_ = keyed.join(spans, ["k1", "k2"]).select("doc_id", "text", "spans")
+    cut_ = cut_.mapInArrow(lean(run), StructType.fromDDL(f"doc_id long, n_bytes long, spans {SPANS}, kept binary"))
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    whole = keyed.join(spans, ["k1", "k2"], "left_anti").select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.array().cast(SPANS).alias("spans"), text.alias("kept")
+    )
+    return cut_.union(whole)
 
 
 def digest(removed: DataFrame) -> DataFrame:

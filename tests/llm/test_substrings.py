@@ -7,11 +7,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from candlemill.llm.queries import op12_repeated_strings
 from candlemill.llm.sorting import counted, paired
-from candlemill.llm.substrings import LENGTH, cut, digest, join_spans, least_places, remove_repeated, suffix_ranks
+from candlemill.llm.substrings import LENGTH, _maximal, cut, digest, least_places, remove_repeated, suffix_ranks
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -133,6 +134,11 @@ def test_cuts_depend_on_content():
     assert (least_places(hashes) == [k + int(hashes[k : k + 160].argmin()) for k in range(len(hashes) - 159)]).all()
 
 
-def test_join_spans():
-    assert join_spans([(0, 4), (2, 3), (4, 6), (8, 9)]) == [(0, 6), (8, 9)]
-    assert join_spans([]) == []
+def test_maximal_spans():
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    rows = [[(0, 4), (2, 3), (4, 6), (8, 9)], [], [(5, 7)], [(0, 9), (1, 2), (3, 4), (20, 30)]]
+    listed = pa.array([[{"start": a, "stop": b} for a, b in row] for row in rows], kind)
+    keys = pa.array(range(4), pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, keys, listed], names=["k1", "k2", "spans"])
+    found = next(_maximal(iter([batch]))).column("spans").to_pylist()
+    assert [[tuple(s.values()) for s in row] for row in found] == [[(0, 6), (8, 9)], [], [(5, 7)], [(0, 9), (20, 30)]]
