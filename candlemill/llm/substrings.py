@@ -556,7 +556,7 @@ def _maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.ones(len(start), bool)
         new[1:] = (start[1:] + shift[1:] > reach[:-1]) | (row[1:] != row[:-1])
         head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(start)) - 1
+        tail = np.append(head[1:], len(start))[: len(head)] - 1
         struct = pa.StructArray.from_arrays([pa.array(start[head]), pa.array((reach - shift)[tail])], ["start", "stop"])
         counts = np.bincount(row[head], minlength=batch.num_rows)
         offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
