@@ -15,7 +15,7 @@ Links are found without listing the pairs of a group:
 4. Only members of a bucket that are in different components still are compared with each other,
    each pair in the first bucket it shares and only if sizes and sketches allow a link.
 
-Members of buckets in several components get wide sketches, of eight times as many permutations, so
+Members of buckets in several components get wide sketches, of four times as many permutations, so
 that documents of one template below the similarity are told apart before their texts are joined.
 
 Every comparison is confirmed on the full shingle sets. A pair at similarity 0.85 shares no bucket
@@ -44,10 +44,10 @@ PER_BAND = PERMUTATIONS // BANDS
 SKETCH_LONGS = 2 * PERMUTATIONS * 2 // 64
 # Of 256 two-bit values, so many agree at least; at similarity 0.85 the mean is 227, deviation 5.
 SKETCH_AGREE = 206
-# The same of wide sketches: of 2048 values the mean is 1818, the deviation 14.
-WIDE = 1_024
+# The same of wide sketches: of 1024 values the mean is 909, the deviation 10.
+WIDE = 512
 WIDE_LONGS = 2 * WIDE * 2 // 64
-WIDE_AGREE = 1_757
+WIDE_AGREE = 866
 # Orders of neighbours, each by another two longs of the sketches.
 ORDERS = 4
 
@@ -220,8 +220,8 @@ def _open_buckets(members: DataFrame, clusters: DataFrame, links: DataFrame) ->
     return stage(in_bucket.join(largest, "key").select("rep", "key", "root", "top"), "open"), placed
 
 
-_NEIGHBOUR = ["key", "rep", "root", "n_shingles", "wide"]
-_LOW_BITS = int.from_bytes(b"\x55" * (8 * WIDE_LONGS), "little")
+_NEIGHBOUR = ["key", "rep", "root", "n_shingles", "sketch"]
+_LOW_BITS = int.from_bytes(b"\x55" * (8 * SKETCH_LONGS), "little")
 
 
 def _neighbours(rows: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -237,9 +237,9 @@ def _neighbours(rows: DataFrame, turn: int, percent: int) -> DataFrame:
         held = None  # the last row of a bucket, and the last one of another component before it
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in _NEIGHBOUR[:-1]]
-            wide = batch.column("wide").flatten().to_numpy().reshape(batch.num_rows, -1)
+            sketch_rows = batch.column("sketch").flatten().to_numpy().reshape(batch.num_rows, -1)
             pairs = set()
-            for key, rep, root, size, sketch in zip(*columns, wide):
+            for key, rep, root, size, sketch in zip(*columns, sketch_rows):
                 own = (key, rep, root, size, int.from_bytes(sketch.tobytes(), "little"))
                 if held is None or held[0][0] != key:
                     held = (own, None)
@@ -259,11 +259,11 @@ def _neighbours(rows: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def _may_link(x: tuple, y: tuple, percent: int) -> bool:
-    """Whether sizes and wide sketches (at 3 and 4 of both) allow a link."""
+    """Whether sizes and sketches (at 3 and 4 of both) allow a link."""
     if 100 * min(x[3], y[3]) < percent * max(x[3], y[3]):
         return False
     bits = x[4] ^ y[4]
-    return ((bits | (bits >> 1)) & _LOW_BITS).bit_count() <= 2 * WIDE - WIDE_AGREE
+    return ((bits | (bits >> 1)) & _LOW_BITS).bit_count() <= 2 * PERMUTATIONS - SKETCH_AGREE
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -334,16 +334,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     clusters = stage(members.select("rep").distinct().join(classes, "rep"), "clusters")
     links = _confirm(stars, _texts_of(stars, docs), percent)
     open_buckets, placed = _open_buckets(members, clusters, links)
+    beside = open_buckets.join(placed.select("rep", "n_shingles", "sketch"), "rep")
+    near = functools.reduce(DataFrame.union, [_neighbours(beside, turn, percent) for turn in range(ORDERS)])
+    near = stage(near.distinct(), "near")
+    links = links.union(_confirm(near, _texts_of(near, docs), percent))
+    open_buckets, placed = _open_buckets(members, clusters, links)
     asked = open_buckets.select(F.col("rep").alias("doc_id")).distinct()
     # An id whose rows have several texts has no wide sketch, and is held back by none.
     wide = docs.join(asked, "doc_id", "left_semi").mapInArrow(lean(_wide_sketches), "rep long, wide array<long>")
     wide = stage(wide.groupBy("rep").agg(F.collect_list("wide").alias("wide")), "wide")
     wide = wide.where("size(wide) = 1").select("rep", F.col("wide")[0].alias("wide"))
-    beside = open_buckets.join(placed.select("rep", "n_shingles", "sketch"), "rep").join(wide, "rep")
-    near = functools.reduce(DataFrame.union, [_neighbours(beside, turn, percent) for turn in range(ORDERS)])
-    near = stage(near.distinct(), "near")
-    links = links.union(_confirm(near, _texts_of(near, docs), percent))
-    open_buckets, placed = _open_buckets(members, clusters, links)
     full = placed.select("rep", "n_shingles", "keys", "sketch")
     rest = open_buckets.join(full, "rep").join(wide, "rep", "left")
     outer = rest.where("root <> top").alias("x")
