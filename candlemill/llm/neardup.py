@@ -50,6 +50,8 @@ WIDE_LONGS = 2 * WIDE * 2 // 64
 WIDE_AGREE = 866
 # Orders of neighbours, each by another two longs of the sketches.
 ORDERS = 4
+# So many ids, of 16 bytes each in a broadcast; a longer list is joined by a shuffle.
+BROADCAST_IDS = 8_000_000
 
 _SEEDS = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _SCALE = _SEEDS[:PERMUTATIONS] | np.uint64(1)
@@ -190,10 +192,17 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return stage(rows.mapInArrow(lean(lambda it: _linked(it, percent)), "a long, b long"), "linked")
 
 
+def _with_ids(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents with these ids. A list of checked size is broadcast, so no text is shuffled."""
+    wanted = stage(wanted.distinct(), "wanted")
+    small = wanted.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
+
+
 def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Texts of the documents that occur in pairs, staged: the corpus is shuffled once."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    return stage(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
+    """Texts of the documents that occur in pairs, staged."""
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id")))
+    return stage(_with_ids(docs.select("doc_id", "text"), wanted), "texts")
 
 
 def _open_buckets(members: DataFrame, clusters: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -339,9 +348,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     near = stage(near.distinct(), "near")
     links = links.union(_confirm(near, _texts_of(near, docs), percent))
     open_buckets, placed = _open_buckets(members, clusters, links)
-    asked = open_buckets.select(F.col("rep").alias("doc_id")).distinct()
+    asked = open_buckets.select(F.col("rep").alias("doc_id"))
     # An id whose rows have several texts has no wide sketch, and is held back by none.
-    wide = docs.join(asked, "doc_id", "left_semi").mapInArrow(lean(_wide_sketches), "rep long, wide array<long>")
+    wide = _with_ids(docs, asked).mapInArrow(lean(_wide_sketches), "rep long, wide array<long>")
     wide = stage(wide.groupBy("rep").agg(F.collect_list("wide").alias("wide")), "wide")
     wide = wide.where("size(wide) = 1").select("rep", F.col("wide")[0].alias("wide"))
     full = placed.select("rep", "n_shingles", "keys", "sketch")

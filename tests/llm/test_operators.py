@@ -112,6 +112,19 @@ def test_offending_sentences(shipped_spark, frame):
     assert scored[2].toxic_score == pytest.approx(1 - (1 - quiet) ** 3 * (1 - 1e-3))
 
 
+def test_near_duplicates_shuffle_no_corpus(frame, spark):
+    """A list of ids of checked size is broadcast, also where Spark by itself would shuffle the texts."""
+    docs = frame("doc_id long, text string", *[(i, f"text {i}") for i in range(20)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = neardup._with_ids(docs, docs.select("doc_id").where("doc_id % 3 = 0"))
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r.doc_id for r in found.collect()} == set(range(0, 20, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_passages(results, texts):
     places = collections.defaultdict(set)
     for i, t in texts.items():
