@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import os
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from candlemill.llm import substrings
 from candlemill.llm.queries import op12_repeated_strings
 from candlemill.llm.sorting import counted, paired
 from candlemill.llm.substrings import LENGTH, _maximal, cut, digest, least_places, remove_repeated, suffix_ranks
@@ -142,3 +144,27 @@ def test_maximal_spans():
     batch = pa.RecordBatch.from_arrays([keys, keys, listed], names=["k1", "k2", "spans"])
     found = next(_maximal(iter([batch]))).column("spans").to_pylist()
     assert [[tuple(s.values()) for s in row] for row in found] == [[(0, 6), (8, 9)], [], [(5, 7)], [(0, 9), (20, 30)]]
+
+
+def test_texts_by_a_broadcast_list_or_all(shipped_spark, frame, monkeypatch):
+    rows = mosaic(5)
+    docs = frame("doc_id long, text string", *rows)
+    for most in (substrings.BROADCAST_IDS, 0):
+        monkeypatch.setattr(substrings, "BROADCAST_IDS", most)
+        assert sorted(map(tuple, digest(remove_repeated(docs)).collect()), key=str) == plain(rows)
+
+
+def test_intermediates_are_dropped_once_read(shipped_spark, frame):
+    folder = shipped_spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    remove_repeated(frame("doc_id long, text string", *mosaic(6)))
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert "spans" in left and not left & {"cuts", "work", "strings", "sixteen", "prints"}
+
+
+def test_seed_hashes_across_parts(monkeypatch):
+    monkeypatch.setattr(substrings, "CACHED", 100)
+    for n in (0, 15, 16, 115, 116, 1000):
+        data = np.random.default_rng(n).integers(0, 256, n).astype(np.uint8)
+        starts = np.arange(max(n - substrings.SEED + 1, 0))
+        assert (substrings.seed_hashes(data) == substrings.byte_hashes(data, starts, starts + substrings.SEED)).all()
